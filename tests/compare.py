@@ -75,20 +75,26 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--start")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = build_session("local[8]", 8, **{"spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = build_session("local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                                                 "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     bad = 0
-    for name, q in registered().items():
-        if args.names and not any(name == n or (n.endswith("*") and name.startswith(n[:-1])) for n in args.names):
+    chosen = dict(registered())
+    if args.start:
+        names = list(chosen)
+        chosen = {n: chosen[n] for n in names[names.index(args.start):]}
+    for name, q in chosen.items():
+        if args.names and name not in args.names and not any(n.endswith("*") and name.startswith(n[:-1]) for n in args.names):
             continue
         start = time.time()
         try:
             found = q.run(spark, args.sf).toArrow()
             took = time.time() - start
-            result = "rows only" if q.sql is None else difference(found, con.execute(q.sql).to_arrow_table())
+            result = "rows only" if q.sql is None else difference(found, con.sql(q.sql).to_arrow_table())
             if q.sql is not None and found.num_rows == 0:
                 result = result or "EMPTY"
         except Exception as e:  # noqa: BLE001

@@ -287,8 +287,8 @@ def _(t: Tables):
     return t.pitch_fx.select("seq", *values.null_all_if_any_null(["xba", "release_spin_rate"]))
 
 
-@query("parse_list_column", "SELECT vec_id, [CAST(round(embedding[1], 2) AS DOUBLE), NULL, "
-       "CAST(round(embedding[2], 2) AS DOUBLE)] AS parsed FROM embeddings")
+@query("parse_list_column", f"""SELECT vec_id, [{r6("CAST(printf('%.2f', CAST(embedding[1] AS DOUBLE)) AS DOUBLE)")}, NULL,
+{r6("CAST(printf('%.2f', CAST(embedding[2] AS DOUBLE)) AS DOUBLE)")}] AS parsed FROM embeddings""")
 def _(t: Tables):
     item = lambda i: F.format_string("%.2f", F.element_at("embedding", i).cast("double"))
     packed = F.concat(F.lit("["), item(1), F.lit(", nan, "), item(2), F.lit("]"))

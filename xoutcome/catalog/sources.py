@@ -1,0 +1,174 @@
+"""Scans, sinks, the dimension and the incremental update."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from xoutcome import schema as S
+from xoutcome.catalog.base import Tables, query, r6, r6s
+from xoutcome.operators.models import predict
+from xoutcome.operators.evaluate import errors
+from xoutcome.operators.rank import temporal_split
+from xoutcome.plans.features import batter_features
+from xoutcome.plans.modelling import fit_model
+from xoutcome.session import fresh_path
+from xoutcome.sources import dimension, events, tables
+from xoutcome.streaming.update import append_arrivals
+
+_DOUBLES = [c for c in S.KEEP if c in S.METRICS or c in (S.TARGET, "spin_axis")]
+_OTHERS = [c for c in S.KEEP if c not in _DOUBLES]
+
+
+@query("scan_events", f"SELECT {', '.join(_OTHERS)}, {r6s(*_DOUBLES)}, at_bat_number FROM raw_fx", ("raw_fx",))
+def _(t: Tables):
+    path = fresh_path(t.spark, "raw-csv")
+    columns = [*S.KEEP, "at_bat_number"]
+    t.raw_fx.select(*columns).write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return events.scan_events(t.spark, path, T.StructType([S.RAW_SCHEMA[c] for c in columns]))
+
+
+@query("scan_partitioned", f"SELECT at_bat_number, CAST(game_year AS INTEGER) AS season, bb_type AS team, {r6(S.TARGET, 'y')} "
+       "FROM raw_fx WHERE game_year BETWEEN 1996 AND 1998 AND bb_type IN ('fly_ball')", ("raw_fx",))
+def _(t: Tables):
+    path = fresh_path(t.spark, "season-team")
+    rows = t.raw_fx.select("at_bat_number", F.col("game_year").alias("season"), F.col("bb_type").alias("team"),
+                           F.col(S.TARGET).alias("y"))
+    rows.write.partitionBy("season", "team").parquet(path)
+    return events.scan_partitioned(t.spark, path, (1996, 1998), ["fly_ball"])
+
+
+@query("drop_deprecated", "SELECT vec_id, label FROM embeddings")
+def _(t: Tables):
+    rows = t.embeddings.select("vec_id", "label", *[F.lit(0).alias(c) for c in S.DEPRECATED])
+    return events.drop_deprecated(rows)
+
+
+@query("append_events", "SELECT game_year, COUNT(*) AS n, MIN(at_bat_number) AS first FROM raw_fx GROUP BY game_year",
+       ("raw_fx",))
+def _(t: Tables):
+    path = fresh_path(t.spark, "appended")
+    rows = t.raw_fx.select("at_bat_number", "game_year", "game_type")
+    for part in (F.col("game_type") == "R", F.col("game_type") != "R"):
+        events.append_events(rows.filter(part), path)
+    return t.spark.read.parquet(path).groupBy("game_year").agg(
+        F.count("*").alias("n"), F.min("at_bat_number").alias("first"))
+
+
+@query("high_water_mark", "SELECT MAX(CAST(o_orderdate AS DATE)) AS mark FROM orders WHERE o_orderkey % 5 <> 0")
+def _(t: Tables):
+    day = F.when(F.col("o_orderkey") % 5 == 0, "no date").otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    return events.high_water_mark(t.orders.select(day.alias("game_date")))
+
+
+_EV = "event_id, CAST(ts AS DATE) AS game_date"
+
+
+@query("incremental_update", f"""
+WITH e AS (SELECT {_EV} FROM events), m AS (SELECT MAX(game_date) AS mark FROM e WHERE event_id % 2 = 0 OR
+  game_date < DATE '2024-01-20')
+SELECT event_id, game_date FROM e WHERE event_id % 2 = 0 OR game_date < DATE '2024-01-20' OR game_date >= (SELECT mark FROM m)""")
+def _(t: Tables):
+    rows = t.events.select("event_id", F.col("ts").cast("date").alias("game_date"))
+    rows = rows.withColumn("game_year", F.year("game_date"))
+    held = (F.col("event_id") % 2 == 0) | (F.col("game_date") < F.lit("2024-01-20").cast("date"))
+    path = fresh_path(t.spark, "store")
+    events.append_events(rows.filter(held), path)
+    for _ in range(2):  # the second round adds nothing
+        events.incremental_update(t.spark, path, rows, ["event_id"])
+    return t.spark.read.parquet(path).select("event_id", "game_date")
+
+
+@query("append_arrivals", f"SELECT {_EV} FROM events")
+def _(t: Tables):
+    """All events arrive as files, three days of them before the store is first filled."""
+    rows = t.events.select("event_id", F.col("ts").cast("date").alias("game_date"))
+    rows = rows.withColumn("game_year", F.year("game_date"))
+    first = rows.agg(F.min("game_date")).first()[0]
+    store, arrivals, progress = (fresh_path(t.spark, n) for n in ("store", "arrivals", "progress"))
+    early = F.col("game_date") <= F.date_add(F.lit(first), 2)
+    events.append_events(rows.filter(early), store)
+    rows.write.parquet(arrivals)
+    append_arrivals(t.spark, arrivals, store, rows.schema, progress, ["event_id"]).awaitTermination()
+    return t.spark.read.parquet(store).select("event_id", "game_date")
+
+
+@query("write_tables", f"SELECT pitcher, game_date, pa, bb, k, {r6s('xba')} FROM day_fx", ("day_fx",))
+def _(t: Tables):
+    folder = fresh_path(t.spark, "tables")
+    tables.write_tables(folder, {"batters": t.day_fx, "pitchers": t.day_fx})
+    return t.spark.read.parquet(f"{folder}/pitchers")
+
+
+_DIM = """dim AS (SELECT id, max_by(name, line_no) AS name FROM (
+  SELECT TRY_CAST(split_part(line, '; ', 1) AS BIGINT) AS id, trim(split_part(line, '; ', 2)) AS name, line_no
+  FROM dim_fx WHERE len(string_split(line, '; ')) = 2) GROUP BY id)"""
+
+
+@query("parse_dimension", f"WITH {_DIM} SELECT id, name FROM dim", ("dim_fx",))
+def _(t: Tables):
+    return dimension.parse_dimension(t.dim_fx)
+
+
+@query("distinct_ids", "SELECT DISTINCT id FROM (SELECT batter AS id FROM pitch_fx UNION ALL SELECT pitcher FROM pitch_fx)",
+       ("pitch_fx",))
+def _(t: Tables):
+    return dimension.distinct_ids(t.pitch_fx)
+
+
+@query("missing_ids", f"WITH {_DIM} SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT id FROM dim)",
+       ("dim_fx",))
+def _(t: Tables):
+    ids = t.customer.select(F.col("c_custkey").alias("id"))
+    return dimension.missing_ids(ids, dimension.parse_dimension(t.dim_fx))
+
+
+@query("fill_dimension", f"""WITH {_DIM} SELECT id, name FROM dim UNION ALL
+SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT id FROM dim)""", ("dim_fx",))
+def _(t: Tables):
+    ids = t.customer.select(F.col("c_custkey").alias("id"))
+    lookup = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return dimension.fill_dimension(dimension.parse_dimension(t.dim_fx), ids, lookup)
+
+
+@query("enrich_names", f"""WITH {_DIM} SELECT p.seq, p.pitcher, p.batter, a.name AS pitcher_name, b.name AS batter_name
+FROM pitch_fx p LEFT JOIN dim a ON a.id = p.pitcher LEFT JOIN dim b ON b.id = p.batter""", ("dim_fx", "pitch_fx"))
+def _(t: Tables):
+    named = dimension.enrich_names(t.pitch_fx.select("seq", "pitcher", "batter"), dimension.parse_dimension(t.dim_fx))
+    return named.select("seq", "pitcher", "batter", "pitcher_name", "batter_name")
+
+
+@query("write_dimension", f"WITH {_DIM} SELECT id, name FROM dim", ("dim_fx",))
+def _(t: Tables):
+    path = fresh_path(t.spark, "dimension")
+    dimension.write_dimension(dimension.parse_dimension(t.dim_fx), path)
+    return dimension.parse_dimension(dimension.scan_dimension(t.spark, path))
+
+
+@query("read_split", "SELECT pitcher, game_pk, game_year, split FROM (SELECT *, CASE WHEN game_year < 2000 THEN 'train' "
+       "WHEN game_year = 2000 THEN 'test' END AS split FROM season_fx) WHERE split IS NOT NULL", ("season_fx",))
+def _(t: Tables):
+    folder = fresh_path(t.spark, "split")
+    rows = t.season_fx.select("pitcher", "game_pk", "game_year")
+    tables.write_split(folder, "pitchers", rows.filter("game_year < 2000"), rows.filter("game_year = 2000"))
+    train, test = tables.read_split(t.spark, folder, "pitchers")
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+@query("write_eval", f"""SELECT model, split, {r6('avg(abs(y - pred))', 'mae')}, {r6('avg((y - pred) * (y - pred))', 'mse')},
+{r6('sum(w * abs(y - pred)) / sum(w)', 'wmae')} FROM pred_fx GROUP BY model, split""", ("pred_fx",))
+def _(t: Tables):
+    folder = fresh_path(t.spark, "results")
+    tables.write_eval(folder, {"errors": errors(t.pred_fx, ["model", "split"])})
+    return t.spark.read.parquet(f"{folder}/evaluation/errors")
+
+
+@query("model_roundtrip")
+def _(t: Tables):
+    """A forest, saved and loaded, predicts what it did before."""
+    rows = batter_features(t.day_fx.withColumnsRenamed({"pitcher": "batter", "xba": S.TARGET}))
+    model = fit_model(rows, "batter", numTrees=5, maxDepth=5)
+    folder = fresh_path(t.spark, "model")
+    tables.save_model(model, folder, "batter")
+    again = predict(tables.load_model(folder, "batter"), predict(model, rows, "before"), "after")
+    return again.select("batter", "game_date", "before", "after")

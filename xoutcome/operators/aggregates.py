@@ -85,7 +85,7 @@ def group_spread_and_list(
         parts = parts.withColumn("list_part", F.lit(0))
     return parts.select(
         *keys, "list_part", *[f"{c}_{f}" for c in spread for f in ("max", "min")],
-        *[F.transform("_rows", lambda r, c=c: r[f"_l_{c}"]).alias(f"{c}_list") for c in lists],
+        *[F.col("_rows").getField(f"_l_{c}").alias(f"{c}_list") for c in lists],
     )
 
 

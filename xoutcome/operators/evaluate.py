@@ -19,7 +19,8 @@ def mse(y: Column, pred: Column) -> Column:
 
 
 def wmae(y: Column, pred: Column, weight: Column) -> Column:
-    return F.try_divide(F.sum(weight * F.abs(y - pred)), F.sum(weight))
+    error = F.abs(y - pred)
+    return F.try_divide(F.sum(weight * error), F.sum(F.when(error.isNotNull(), weight)))
 
 
 def errors(df: DataFrame, by: list[str], y: str = "y", pred: str = "pred", weight: str = "w") -> DataFrame:

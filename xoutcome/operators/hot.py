@@ -24,8 +24,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
     The rows are fetched once (at most ``max_rows + 1``), so the plan that follows does not compute them again.
     """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 

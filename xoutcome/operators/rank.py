@@ -17,7 +17,7 @@ def top_n_per_cluster(df: DataFrame, clusters: list[str], key: list[str], n: int
     Spark limits each cluster to its best rows on the map side before the shuffle.
     """
     others = [c for c in df.columns if c not in clusters]
-    long = df.unpivot(others, clusters, "cluster", "membership")
+    long = df.unpivot(others, clusters, "cluster", "membership").filter(F.col("membership").isNotNull())
     place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("membership"), *key))
     return long.withColumn("place", place).filter(F.col("place") <= n)
 

@@ -55,8 +55,9 @@ def calendar_fill(df: DataFrame, entity: str | list[str], day: str = DAY) -> Dat
     """
     keys = [entity] if isinstance(entity, str) else list(entity)
     following = F.lead(day).over(Window.partitionBy(*keys).orderBy(day))
-    end = F.coalesce(F.date_sub(following, 1), F.col(day))
-    spread = df.withColumn("_of", F.col(day)).withColumn(day, F.explode(F.sequence(F.col(day), end)))
+    last = F.coalesce(F.date_sub(following, 1), F.col(day))
+    spread = df.withColumns({"_of": F.col(day), "_to": last})
+    spread = spread.withColumn(day, F.explode(F.sequence(day, "_to")))
     first = F.col(day) == F.col("_of")
     rest = [c for c in df.columns if c not in [*keys, day]]
     zero = {f.name: F.lit(0).cast(f.dataType) for f in df.schema.fields if f.name in rest}
