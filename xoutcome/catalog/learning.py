@@ -1,0 +1,202 @@
+"""Scaling, components, clusters, forests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from xoutcome import schema as S
+from xoutcome.catalog.base import Tables, query, r6, r6s
+from xoutcome.operators import cluster as C
+from xoutcome.operators import models as M
+from xoutcome.operators.scaling import Components, Scaler, SoftClusters
+from xoutcome.plans import modelling
+from xoutcome.plans.clusters import learn_clusters, score_clusters
+from xoutcome.plans.features import batter_features, matchup_features, pitcher_features
+from xoutcome.catalog.windows import HARD, SOFT, matchups
+from xoutcome.session import stored
+
+POINT = ("point_fx",)
+
+
+_MEAN_DEV = ", ".join(f"AVG({m}) AS a_{m}, STDDEV_POP({m}) AS d_{m}" for m in S.METRICS)
+
+
+@query("standardize", f"WITH f AS (SELECT {_MEAN_DEV} FROM point_fx) SELECT vec_id, "
+       + ", ".join(r6(f"({m} - a_{m}) / d_{m}", m) for m in S.METRICS) + " FROM point_fx, f", POINT)
+def _(t: Tables):
+    points = t.point_fx.drop("label")
+    return Scaler.fit(points, S.METRICS).apply(points)
+
+
+@query("standardize_inverse", f"SELECT vec_id, {r6s(*S.METRICS)} FROM point_fx", POINT)
+def _(t: Tables):
+    points = t.point_fx.drop("label")
+    scaler = Scaler.fit(points, S.METRICS)
+    return scaler.inverse(scaler.apply(points))
+
+
+def _scaled(t: Tables):
+    points = t.point_fx
+    return Scaler.fit(points, S.METRICS).apply(points)
+
+
+@query("pca")
+def _(t: Tables):
+    scaled = _scaled(t)
+    parts = Components.fit(scaled, S.METRICS)
+    return parts.apply(scaled).select("vec_id", "label", *parts.features)
+
+
+def _reduced(t: Tables):
+    scaled = _scaled(t)
+    parts = Components.fit(scaled, S.METRICS, 0.5)
+    rows = parts.apply(scaled).select("vec_id", "label", *parts.features)
+    return rows.withColumn("kind", F.col("vec_id") % 2), parts.features
+
+
+@query("entity_kmeans")
+def _(t: Tables):
+    rows, features = _reduced(t)
+    return C.entity_kmeans(rows, ["label"], features, "kind")
+
+
+@query("choose_k")
+def _(t: Tables):
+    rows, features = _reduced(t)
+    points = stored(rows.select(F.lit(0).cast("long").alias("gid"), *features))
+    score, k, restarts, centers = C.choose_k(points, features, {0: range(2, 13)}, rounds=40)[0]
+    return t.spark.createDataFrame(
+        [(i, float(score), k, restarts, [float(v) for v in c]) for i, c in enumerate(centers)],
+        "cluster int, score double, k int, restarts int, centre array<double>")
+
+
+def _silhouette_sql(distance: str) -> str:
+    return f"""
+WITH d AS (SELECT a.vec_id, a.label AS own, b.label AS other, {distance} AS gap FROM point_fx a JOIN point_fx b ON a.vec_id <> b.vec_id),
+m AS (SELECT vec_id, own, other, AVG(gap) AS gap FROM d GROUP BY ALL),
+s AS (SELECT vec_id, MIN(CASE WHEN own = other THEN gap END) AS a, MIN(CASE WHEN own <> other THEN gap END) AS b FROM m GROUP BY vec_id)
+SELECT {r6('AVG(COALESCE((b - a) / GREATEST(a, b), 0))', 'silhouette')} FROM s"""
+
+
+_GAP = " + ".join(f"(a.{m} - b.{m}) * (a.{m} - b.{m})" for m in S.METRICS)
+
+
+@query("silhouette_score", _silhouette_sql(f"sqrt({_GAP})"), POINT)
+def _(t: Tables):
+    return C.silhouette_score(t.point_fx, "vec_id", S.METRICS, "label")
+
+
+@query("silhouette_score_squared", _silhouette_sql(_GAP), POINT)
+def _(t: Tables):
+    return C.silhouette_score(t.point_fx, "vec_id", S.METRICS, "label", squared=True)
+
+
+@query("fuzzy_cmeans_fit")
+def _(t: Tables):
+    rows, features = _reduced(t)
+    soft, score, _ = C.fuzzy_cmeans_fit(rows, features, 3, 6, (3, 6))
+    return soft.membership(rows)
+
+
+_USED = S.METRICS[:4]
+_NEAR = " + ".join(f"(p.{m} - c.{m}) * (p.{m} - c.{m})" for m in _USED)
+_LABELS = range(10)
+
+
+@query("fuzzy_membership", f"""
+WITH c AS (SELECT label AS at, {', '.join(f'AVG({m}) AS {m}' for m in _USED)} FROM point_fx GROUP BY label),
+w AS (SELECT p.vec_id, c.at, 1 / ({_NEAR}) AS w FROM point_fx p, c),
+s AS (SELECT vec_id, SUM(w) AS total FROM w GROUP BY vec_id)
+SELECT w.vec_id, {', '.join(r6(f'MAX(CASE WHEN w.at = {i} THEN w.w / s.total END)', f'cluster_attribute_{i}') for i in _LABELS)}
+FROM w JOIN s ON s.vec_id = w.vec_id GROUP BY w.vec_id""", POINT)
+def _(t: Tables):
+    means = t.point_fx.groupBy("label").agg(*[F.avg(m).alias(m) for m in _USED]).orderBy("label").collect()
+    soft = SoftClusters(_USED, [[r[m] for m in _USED] for r in means])
+    return soft.membership(t.point_fx.select("vec_id", *_USED)).drop(*_USED)
+
+
+def _seasons(t: Tables):
+    return t.raw_fx.withColumns({"spin_x": F.col("vx0") + F.col("ax"), "spin_z": F.col("vy0") - F.col("az")}).select(
+        *S.METRICS, "pitcher", "game_year", "pitch_type", "at_bat_number")
+
+
+@query("learn_clusters")
+def _(t: Tables):
+    _, centers = learn_clusters(_seasons(t), goal=0.5, mini=3, maxi=5, restarts=(3, 4))
+    return centers
+
+
+@query("score_clusters")
+def _(t: Tables):
+    rows = _seasons(t)
+    holed = rows.withColumn("ax", F.when(F.col("at_bat_number") % 17 != 0, F.col("ax")))
+    model, _ = learn_clusters(rows, goal=0.5, mini=3, maxi=4, restarts=(3, 3))
+    return score_clusters(holed, model).select("at_bat_number", *model.soft.columns)
+
+
+# ---- forests; the library's defaults are the full sizes, the registered runs use few trees ----
+
+SMALL = {"numTrees": 5, "maxDepth": 5}
+
+
+def _days(t: Tables, entity: str):
+    return t.day_fx.withColumnsRenamed({"pitcher": entity, "xba": S.TARGET})
+
+
+def _prepared(t: Tables):
+    batters = stored(batter_features(_days(t, "batter")), "batter-features")
+    pitchers = stored(pitcher_features(_days(t, "pitcher")), "pitcher-features")
+    # Matchups of the same entities and days, so that their predictions meet.
+    pairs = t.pitch_fx.filter("events IS NOT NULL").groupBy("pitcher", F.col("pitcher").alias("batter"), "game_date").agg(
+        F.count("*").alias("pa"), F.avg("xba").alias(S.TARGET), F.avg(F.col("spin_axis") / 360).alias("cluster_attribute_0"),
+        F.avg("xba").alias("cluster_attribute_1"))
+    return batters, pitchers, stored(pairs.dropna(), "pairs")
+
+
+@query("fit_forest")
+def _(t: Tables):
+    pitchers = stored(pitcher_features(_days(t, "pitcher")), "pitcher-features")
+    model = modelling.fit_model(pitchers, "pitcher", **SMALL)
+    features, _ = modelling.model_columns(pitchers, "pitcher")
+    weights = model.stages[-1].featureImportances.toArray()
+    rows = [(name, float(w)) for name, w in zip(features, weights)]
+    return t.spark.createDataFrame(rows, "feature string, importance double")
+
+
+@query("predict")
+def _(t: Tables):
+    batters = stored(batter_features(_days(t, "batter")), "batter-features")
+    return modelling.scored_rows(modelling.fit_model(batters, "batter", **SMALL), batters, "batter")
+
+
+@query("random_search")
+def _(t: Tables):
+    rows = stored(matchup_features(matchups(t), t.matchup_fx, HARD, SOFT, SOFT, target="xba"), "matchup-features")
+    features, y = modelling.model_columns(rows, "matchup", "xba")
+    few = {"numTrees": [3, 6], "maxDepth": [3, 5], "featureSubsetStrategy": ["all", "sqrt"]}
+    _, table = M.random_search(rows, features, y, n=3, folds=2, settings=few)
+    return table
+
+
+def _three(t: Tables):
+    batters, pitchers, pairs = _prepared(t)
+    models = {
+        "batter": modelling.fit_model(batters, "batter", **SMALL),
+        "pitcher": modelling.fit_model(pitchers, "pitcher", **SMALL),
+        "matchup": modelling.fit_model(pairs, "matchup", **SMALL),
+    }
+    return batters, pitchers, pairs, models
+
+
+@query("stacked_model")
+def _(t: Tables):
+    batters, pitchers, pairs, models = _three(t)
+    rows = stored(modelling.stacked_rows(pairs, batters, pitchers, models), "stacked")
+    return modelling.scored_rows(modelling.fit_model(rows, "stacked", **SMALL), rows, "stacked")
+
+
+@query("combined_model")
+def _(t: Tables):
+    batters, pitchers, pairs, models = _three(t)
+    rows = stored(modelling.combined_rows(pairs, batters, pitchers, models), "combined")
+    return modelling.scored_rows(modelling.fit_model(rows, "combined", **SMALL), rows, "combined")
