@@ -89,7 +89,7 @@ SELECT o.o_orderpriority AS pitch_type, CAST(CAST(o.o_orderdate AS DATE) AS VARC
   CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE o.o_totalprice / 1000000 END AS estimated_ba_using_speedangle,
   o.o_orderkey AS at_bat_number, CAST(1 AS BIGINT) AS pitch_number,
   CASE WHEN o.o_orderkey % 19 = 0 THEN NULL ELSE CAST(o.o_custkey * 7 % 360 AS DOUBLE) END AS spin_axis,
-""" + ",\n".join(f"  p.{m} + o.o_custkey % 5 AS {m}" for m in METRICS[:17]) + """
+""" + ",\n".join(f"  p.{m} + 0.1e0 * (o.o_custkey * {i} % 5) AS {m}" for i, m in enumerate(METRICS[:17], 1)) + """
 FROM (SELECT o1.*, o1.o_orderkey % (SELECT COUNT(*) FROM {embeddings}) AS at FROM {orders} o1) o
 JOIN point_fx p ON p.vec_id = o.at""",
 }

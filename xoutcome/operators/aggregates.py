@@ -105,8 +105,8 @@ def weighted_mean_by_cluster(
 
 
 def daily_sum(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Sums per key and day (A5)."""
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+    """Sums per key and day (A5); a day of nulls sums to 0."""
+    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
 
 
 def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "median",

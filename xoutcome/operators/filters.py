@@ -43,8 +43,12 @@ def drop_after_simplify(df: DataFrame) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows without a null in the listed columns, all by default."""
-    return df.dropna("any", subset=columns)
+    """Rows without a null in the listed columns, all by default.
+
+    One condition per column: a single condition over many computed columns makes the optimizer list
+    every mix of column and expression when it infers constraints.
+    """
+    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns or df.columns]))
 
 
 def terminal_event_flag(event: Column) -> Column:
@@ -60,7 +64,7 @@ def drop_no_throw(df: DataFrame, event: str = "events") -> DataFrame:
 def filter_playable(df: DataFrame) -> DataFrame:
     """Complete rows with a play on the day the target is from."""
     flag = "next_play" if "next_play" in df.columns else "pa"
-    return df.dropna("any").filter(F.col(flag) != 0)
+    return drop_null_rows(df).filter(F.col(flag) != 0)
 
 
 def feature_columns_to_drop(columns: list[str]) -> list[str]:

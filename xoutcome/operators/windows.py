@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xoutcome import schema as S
 from xoutcome.functions import values as V
 from xoutcome.operators.aggregates import daily_sum, weighted_mean_by_cluster
-from xoutcome.operators.filters import terminal_event_flag
+from xoutcome.operators.filters import drop_null_rows, terminal_event_flag
 from xoutcome.operators.hot import MAX_ROWS, next_and_previous, running_sum
 
 DAY = "game_date"
@@ -92,55 +92,53 @@ def rolled(value: Column, frame, needed: int, how=F.sum) -> Column:
     return F.when(F.count(value).over(frame) >= needed, how(value).over(frame))
 
 
+def _cluster_rolls(df: DataFrame, hard: list[str], soft: list[str], n: int, needed: int, entity: str) -> DataFrame:
+    days = with_day_number(daily_sum(df, [entity, DAY], [*hard, *soft, "pa", "bb"]))
+    frame = days_before(entity, n)
+    sums = days.select(
+        entity, DAY, F.count(F.lit(1)).over(frame).alias("_days"), F.sum(F.col("pa") + F.col("bb")).over(frame).alias("_base"),
+        *[F.sum(c).over(frame).alias(f"_{c}") for c in hard], *[F.avg(c).over(frame).alias(f"{c}_roll") for c in soft])
+    # Every daily sum has a value, so a row lacks one of its features only where it lacks all of them.
+    kept = sums.filter(F.col("_days") >= needed)
+    kept = kept.filter(F.col("_base") != 0) if hard else kept
+    rates = [F.try_divide(F.col(f"_{c}"), F.col("_base")).alias(f"{c}_roll_per_pa") for c in hard]
+    return kept.select(entity, DAY, *rates, *[f"{c}_roll" for c in soft])
+
+
 def rolling_hard(df: DataFrame, hard: list[str], n: int = 30, needed: int = 3, entity: str = "pitcher") -> DataFrame:
     """Use of each hard cluster per appearance over the days before."""
-    days = with_day_number(daily_sum(df, [entity, DAY], [*hard, "pa", "bb"]))
-    frame = days_before(entity, n)
-    base = rolled(F.col("pa"), frame, needed) + rolled(F.col("bb"), frame, needed)
-    rates = {f"{c}_roll_per_pa": F.try_divide(rolled(F.col(c), frame, needed), base) for c in hard}
-    return _complete(days.select(entity, DAY, *[e.alias(c) for c, e in rates.items()]), list(rates))
+    return _cluster_rolls(df, hard, [], n, needed, entity)
 
 
 def rolling_soft(df: DataFrame, soft: list[str], n: int = 30, needed: int = 3, entity: str = "pitcher") -> DataFrame:
     """Mean daily sum of each soft cluster over the days before."""
-    days = with_day_number(daily_sum(df, [entity, DAY], soft))
-    frame = days_before(entity, n)
-    means = [rolled(F.col(c), frame, needed, F.avg).alias(f"{c}_roll") for c in soft]
-    return _complete(days.select(entity, DAY, *means), [f"{c}_roll" for c in soft])
+    return _cluster_rolls(df, [], soft, n, needed, entity)
 
 
 def pitcher_cluster_rolls(df: DataFrame, hard: list[str], soft: list[str], n: int = 30, needed: int = 3,
                           entity: str = "pitcher") -> DataFrame:
     """W4 and W5 together: one rollup and one window for both feature sets of an entity."""
-    days = with_day_number(daily_sum(df, [entity, DAY], [*hard, *soft, "pa", "bb"]))
-    frame = days_before(entity, n)
-    base = rolled(F.col("pa"), frame, needed) + rolled(F.col("bb"), frame, needed)
-    rates = [F.try_divide(rolled(F.col(c), frame, needed), base).alias(f"{c}_roll_per_pa") for c in hard]
-    means = [rolled(F.col(c), frame, needed, F.avg).alias(f"{c}_roll") for c in soft]
-    out = days.select(entity, DAY, *rates, *means)
-    for family in ([f"{c}_roll_per_pa" for c in hard], [f"{c}_roll" for c in soft]):
-        out = _complete(out, family)
-    return out
+    return _cluster_rolls(df, hard, soft, n, needed, entity)
 
 
 def rolling_weighted_ratio(df: DataFrame, weights: list[str], value: str, n: int = 30, needed: int = 10,
                            entity: str = "batter", names: dict[str, str] | None = None) -> DataFrame:
-    """Weighted mean of ``value`` per cluster over the days before, by sums of both parts."""
-    days = with_day_number(weighted_mean_by_cluster(df, [entity, DAY], value, weights))
-    frame = days_before(entity, n)
-    names = names or {w: f"{w}_estimated" for w in weights}
-    ratios = [
-        F.try_divide(
-            rolled(F.col(f"{w}_agg") * F.col(w), frame, needed), rolled(F.col(w), frame, needed)
-        ).alias(names[w])
-        for w in weights
-    ]
-    return _complete(days.select(entity, DAY, *ratios), [names[w] for w in weights])
-
+    """Weighted mean of ``value`` per cluster over the days before, by sums of both parts.
 
-def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows with any of the columns, holes as 0."""
-    return df.dropna("all", subset=columns).fillna(0.0, subset=columns)
+    Rows without any weight in the frame are dropped, single clusters without weight get 0.
+    """
+    names = names or {w: f"{w}_estimated" for w in weights}
+    known = df.filter(F.col(value).isNotNull())
+    days = with_day_number(weighted_mean_by_cluster(known, [entity, DAY], value, weights))
+    days = days.withColumn("_any", sum((F.col(w) for w in weights[1:]), F.col(weights[0])))
+    frame = days_before(entity, n)
+    sums = days.select(
+        entity, DAY, F.count(F.lit(1)).over(frame).alias("_days"), F.sum("_any").over(frame).alias("_total"),
+        *[F.sum(F.col(f"{w}_agg") * F.col(w)).over(frame).alias(f"_x_{w}") for w in weights],
+        *[F.sum(w).over(frame).alias(f"_w_{w}") for w in weights])
+    kept = sums.filter((F.col("_days") >= needed) & (F.col("_total") != 0))
+    return kept.select(entity, DAY, *[
+        V.clean_ratio(F.col(f"_x_{w}"), F.col(f"_w_{w}")).alias(names[w]) for w in weights])
 
 
 def rolling_rate(value: str, frame, needed: int, play: str = "play") -> Column:
@@ -202,7 +200,7 @@ def depth_features(df: DataFrame, entity: str, lags: int, windows: dict[int, int
 def explode_aligned(df: DataFrame, lists: list[str], keep: list[str]) -> DataFrame:
     """List columns unrolled in step; rows with a null are dropped."""
     rows = df.select(*keep, F.explode(F.arrays_zip(*lists)).alias("_row"))
-    return rows.select(*keep, *[F.col(f"_row.{c}").alias(c) for c in lists]).dropna("any")
+    return drop_null_rows(rows.select(*keep, *[F.col(f"_row.{c}").alias(c) for c in lists]))
 
 
 def next_day_view(df: DataFrame, entity: str, target: str = S.TARGET) -> DataFrame:
@@ -211,4 +209,4 @@ def next_day_view(df: DataFrame, entity: str, target: str = S.TARGET) -> DataFra
     shifted = shift_target(
         {f"next_{target}": target, "next_play": "play", "day_of_week": "day_of_week", "month": "month",
          "year": "year"}, day_window(entity))
-    return dated.withColumns(shifted).drop(_D).dropna("any")
+    return drop_null_rows(dated.withColumns(shifted).drop(_D))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from xoutcome import schema as S
 from xoutcome.functions import values as V
-from xoutcome.operators.filters import drop_feature_columns, filter_playable
+from xoutcome.operators.filters import drop_feature_columns, drop_null_rows, filter_playable
 from xoutcome.operators.joins import matchup_feature_join
 from xoutcome.operators.windows import (
     DAY, calendar_fill, depth_features, explode_aligned, next_day_view, pitcher_cluster_rolls,
@@ -76,7 +76,7 @@ def matchup_features(matchups: DataFrame, at_bats: DataFrame, hard: list[str], s
     """
     pitcher_side = pitcher_cluster_rolls(matchups, hard, soft, depth, pitcher_min)
     batter_side = rolling_weighted_ratio(at_bats, weights or [*soft, *hard], target, depth, batter_min)
-    rows = matchups.select("pitcher", "batter", DAY, target, "pa").dropna("any")
+    rows = drop_null_rows(matchups.select("pitcher", "batter", DAY, target, "pa"))
     return matchup_feature_join(rows, pitcher_side, batter_side).filter(F.col("pa") != 0)
 
 

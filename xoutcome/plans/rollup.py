@@ -9,6 +9,7 @@ from xoutcome import schema as S
 from xoutcome.functions.values import hard_assign
 from xoutcome.operators.aggregates import (
     day_keys, entity_day_rollup, event_indicators, group_spread_and_list, segment_rollup)
+from xoutcome.operators.filters import drop_null_rows
 from xoutcome.operators.hot import MAX_ROWS
 from xoutcome.operators.windows import segment_ids
 
@@ -44,4 +45,4 @@ def matchup_lists(rows: DataFrame, soft: list[str], hard: list[str], target: str
 
 def at_bats(rows: DataFrame, soft: list[str], hard: list[str], target: str = S.TARGET) -> DataFrame:
     """The rows those lists would unroll to again: one per segment, complete ones only."""
-    return rows.select("batter", "game_date", *soft, *hard, target).dropna("any")
+    return drop_null_rows(rows.select("batter", "game_date", *soft, *hard, target))
