@@ -122,7 +122,7 @@ def _seasons(t: Tables):
 
 @query("learn_clusters")
 def _(t: Tables):
-    _, centers = learn_clusters(_seasons(t), goal=0.5, mini=3, maxi=5, restarts=(3, 4))
+    _, centers = learn_clusters(_seasons(t), goal=0.5, mini=3, maxi=5, restarts=(3, 4), fuzzy_rounds=30)
     return centers
 
 
@@ -130,7 +130,7 @@ def _(t: Tables):
 def _(t: Tables):
     rows = _seasons(t)
     holed = rows.withColumn("ax", F.when(F.col("at_bat_number") % 17 != 0, F.col("ax")))
-    model, _ = learn_clusters(rows, goal=0.5, mini=3, maxi=4, restarts=(3, 3))
+    model, _ = learn_clusters(rows, goal=0.5, mini=3, maxi=4, restarts=(3, 3), fuzzy_rounds=30)
     return score_clusters(holed, model).select("at_bat_number", *model.soft.columns)
 
 

@@ -172,6 +172,6 @@ def _(t: Tables):
     """All stages over the raw events, with few restarts and trees; returns the errors of the five models."""
     small = {"numTrees": 5, "maxDepth": 5}
     settings = BuildSettings(
-        min_games=1, min_rows=100, goal=0.5, clusters=(3, 4), restarts=(3, 3),
+        min_games=1, min_rows=100, goal=0.5, clusters=(3, 4), restarts=(3, 3), fuzzy_rounds=30,
         forests={kind: small for kind in ("batter", "pitcher", "matchup", "stacked", "combined")})
     return fresh_build(t.raw_fx, fresh_path(t.spark, "build"), settings)["errors"]

@@ -26,6 +26,7 @@ class BuildSettings:
     goal: float = 0.95
     clusters: tuple[int, int] = (10, 60)
     restarts: tuple[int, int] = (3, 20)
+    fuzzy_rounds: int = 150
     forests: dict[str, dict] = field(default_factory=dict)
     order: list[str] = field(default_factory=lambda: list(S.EVENT_ORDER))
     target: str = S.TARGET
@@ -46,7 +47,7 @@ def fresh_build(raw: DataFrame, folder: str, settings: BuildSettings | None = No
     clean = _written(spark, folder, "events_clean", clean_events(raw, s.order))
     train, test = temporal_split(clean, s.min_games)
     model, _ = learn_clusters(train, goal=s.goal, min_rows=s.min_rows, mini=s.clusters[0], maxi=s.clusters[1],
-                              restarts=s.restarts)
+                              restarts=s.restarts, fuzzy_rounds=s.fuzzy_rounds)
     model.save(spark, f"{folder}/models")
     soft = model.soft.columns
     hard = FeatureFamily("cluster", len(soft)).columns
