@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from xoutcome import schema as S
 from xoutcome.functions.values import clean_ratio, is_one_of
 from xoutcome.operators.hot import MAX_ROWS, bounded_broadcast, null_safe_join, running_sum, with_chunks
+from xoutcome.session import stored
 
 ROLES = {"batter": ["batter"], "pitcher": ["pitcher"], "both": ["pitcher", "batter"]}
 
@@ -109,14 +110,18 @@ def daily_sum(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
 
 
-def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "median",
-                 max_rows: int | None = MAX_ROWS) -> DataFrame:
-    """Exact median per group, nulls skipped.
+def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """How often each value occurs per group, written once: what every median reads instead of the rows."""
+    known = df.filter(F.col(value).isNotNull())
+    return stored(known.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+
 
-    Equal values are counted first, then a running count finds the middle: no group's values meet in
-    one task, however many there are.
+def median_of_counts(counts: DataFrame, groups: list[str], value: str, out: str = "median",
+                     max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """Exact median per group of a table of value counts.
+
+    A running count finds the middle, so no group's values meet in one task, however many there are.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     upto = running_sum(counts, F.col("_n"), groups, [value], "_upto", max_rows=max_rows)
     totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     placed = null_safe_join(upto, totals, groups)
@@ -125,6 +130,12 @@ def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "media
     return placed.groupBy(*groups).agg(((low + high) / 2).alias(out))
 
 
+def exact_median(df: DataFrame, groups: list[str], value: str, out: str = "median",
+                 max_rows: int | None = MAX_ROWS) -> DataFrame:
+    """Exact median per group, nulls skipped."""
+    return median_of_counts(value_counts(df, groups, value), groups, value, out, max_rows)
+
+
 def median_table(df: DataFrame, category: str, events: list[str] | None = None, by: list[str] = (),
                  event: str = "events", out: str = "median", max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Median of ``category`` per event, and per ``by`` columns where given."""
@@ -149,12 +160,14 @@ def impute_target(df: DataFrame, stats_from: DataFrame | None = None, target: st
                   max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Null targets become medians: per event, and per (kind, event) for the ``by_type`` events.
 
-    Both tables come from ``stats_from``, by default ``df`` itself; pass the raw table for medians of all rows.
+    Both tables come from one count of ``stats_from``, by default ``df`` itself; pass the raw table for
+    medians of all rows.
     """
-    source = stats_from if stats_from is not None else df
-    others = source.filter(~is_one_of(F.col(event), by_type)).filter(F.col(event).isNotNull())
-    per_event = median_table(others, target, None, (), event, "_m_event", max_rows)
-    per_kind = median_table(source, target, by_type, [kind], event, "_m_kind", max_rows)
+    counts = value_counts(stats_from if stats_from is not None else df, [event, kind], target)
+    typed = F.col(event).isin(list(by_type))
+    per_event = counts.filter(~typed).groupBy(event, target).agg(F.sum("_n").alias("_n"))
+    per_event = median_of_counts(per_event, [event], target, "_m_event", max_rows)
+    per_kind = median_of_counts(counts.filter(typed), [event, kind], target, "_m_kind", max_rows)
     joined = (df.join(bounded_broadcast(per_event), event, "left")
               .join(bounded_broadcast(per_kind), [event, kind], "left"))
     return joined.select(*[
