@@ -353,9 +353,11 @@ def _(t: Tables):
 
 @query("temporal_split", """
 WITH s AS (SELECT MAX(game_year) AS season FROM (SELECT game_year, COUNT(DISTINCT game_pk) AS n FROM season_fx
-  GROUP BY game_year) WHERE n >= 1000)
+  GROUP BY game_year) WHERE n >= (SELECT COUNT(DISTINCT game_pk) // 7 FROM season_fx))
 SELECT game_pk, game_year, CASE WHEN game_year < season THEN 'train' ELSE 'test' END AS split FROM season_fx, s
 WHERE game_year <= season""", ("season_fx",))
 def _(t: Tables):
-    train, test = R.temporal_split(t.season_fx.select("game_pk", "game_year"))
+    """A full season has at least the mean number of games, whatever the size of the tables; the last one does not."""
+    rows = t.season_fx.select("game_pk", "game_year")
+    train, test = R.temporal_split(rows, rows.select("game_pk").distinct().count() // 7)
     return train.withColumn("split", F.lit("train")).unionAll(test.withColumn("split", F.lit("test")))
