@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from xoutcome.session import stored
+
 MAX_ROWS = 5_000_000
 BROADCAST_ROWS = 200_000
 _CHUNK = "_chunk"
@@ -44,19 +46,24 @@ def _cut(df: DataFrame, keys: list[str], chunks: list[str], by: str, out: str, m
     a value heavy enough to need a cut of its own always is one, and only there a later order column may cut.
     """
     groups = keys + chunks
-    hot = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
+    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
     if chunks:
-        hot = hot.filter(F.col(chunks[-1]) % 2 == 1)
-    largest = hot.agg(F.max("_n")).first()[0]
-    if largest is None:
+        counts = counts.filter(F.col(chunks[-1]) % 2 == 1)
+    found = counts.toArrow()  # at most (rows / max_rows) keys
+    if found.num_rows == 0:
         return None
-    parts = -(-largest // max_rows)
-    steps = [i / parts for i in range(1, parts)]
-    # At most (rows / max_rows) keys are hot, which bounds both tables broadcast here.
-    in_hot = null_safe_join(df.select(*groups, by), F.broadcast(hot.select(*groups)), groups, "left_semi")
-    cuts = in_hot.groupBy(*groups).agg(
-        F.array_distinct(F.percentile_approx(by, steps, max(10_000, 10 * parts))).alias("_cuts")
-    )
+    # A key gets 4, 16, 64, ... pieces, the first number that makes them small enough.
+    tiers = F.ceil(F.log(4.0, F.col("_n") / max_rows)).cast("int")
+    hot = df.sparkSession.createDataFrame(found, counts.schema).withColumn("_tier", F.greatest(tiers, F.lit(1)))
+    levels = [r["_tier"] for r in hot.select("_tier").distinct().collect()]
+    cuts = stored(reduce(DataFrame.unionAll, [
+        null_safe_join(df.select(*groups, by), F.broadcast(hot.filter(F.col("_tier") == level).select(*groups)),
+                       groups, "left_semi")
+        .groupBy(*groups).agg(F.array_distinct(F.percentile_approx(
+            by, [i / 4 ** level for i in range(1, 4 ** level)], max(10_000, 10 * 4 ** level))).alias("_cuts"))
+        for level in levels
+    ]), "cuts")
+    # Written, as both branches of a caller must see the same cuts; at most (4 * rows / max_rows) values.
     joined = null_safe_join(df, F.broadcast(cuts), groups)
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(by)))
     equal = F.coalesce(F.array_contains("_cuts", F.col(by)), F.lit(False)).cast("int")
