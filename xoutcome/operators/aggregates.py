@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,7 +191,5 @@ def types_by_member(df: DataFrame, kind: str = "pitch_type", member: str = "pitc
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Different values of each column, as text."""
-    frames = [
-        df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")).distinct() for c in columns
-    ]
-    return reduce(DataFrame.unionAll, frames)
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    return df.select(F.inline(F.array(*pairs))).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,15 +11,28 @@ def sort_by_day(df: DataFrame, keys: list[str], day: str = "game_date") -> DataF
     return df.orderBy(day, *keys)
 
 
-def top_n_per_cluster(df: DataFrame, clusters: list[str], key: list[str], n: int = 500) -> DataFrame:
-    """The ``n`` rows with the highest membership of each cluster.
+SALTS = 64
+
+
+def top_rows(df: DataFrame, keys: list[str], order: list[Column], n: int, place: str = "place") -> DataFrame:
+    """The first ``n`` rows of each key with their place.
 
-    Spark limits each cluster to its best rows on the map side before the shuffle.
+    Each task keeps its own best rows before the shuffle (Spark does so for ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000). With few keys and many tasks even those are
+    many rows for one task, so groups of tasks meet first and only their best rows meet after that.
     """
+    some = df.withColumn("_salt", F.spark_partition_id() % SALTS)
+    for group in ([*keys, "_salt"], keys):
+        number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        some = some.withColumn(place, number).filter(F.col(place) <= n)
+    return some.drop("_salt")
+
+
+def top_n_per_cluster(df: DataFrame, clusters: list[str], key: list[str], n: int = 500) -> DataFrame:
+    """The ``n`` rows with the highest membership of each cluster."""
     others = [c for c in df.columns if c not in clusters]
     long = df.unpivot(others, clusters, "cluster", "membership").filter(F.col("membership").isNotNull())
-    place = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("membership"), *key))
-    return long.withColumn("place", place).filter(F.col("place") <= n)
+    return top_rows(long, ["cluster"], [F.desc("membership"), *map(F.col, key)], n)
 
 
 def head_of_null_rows(df: DataFrame, column: str, key: list[str], n: int = 20) -> DataFrame:
