@@ -2,8 +2,9 @@
 
 Three steps, each one Spark shuffle of packed arrays at most:
 
-1. ``split_words`` cuts texts into words. A block of documents becomes a row with its own word list and, for each
-   document, the positions' word numbers.
+1. ``word_lists`` and ``word_numbers`` cut texts into words. A block of documents has a list of its distinct words
+   and, for each document, the positions' word numbers. Both come from a read of their own, which costs less than
+   storing the numbers; a block's name is a digest of its texts, so that rows in another order are noticed.
 2. ``encode_words`` brings the word lists of all blocks together by word hash, so that each distinct word is
    encoded once in the whole corpus, and returns to each block the ids of its words.
 3. ``join_ids`` joins them back by position. ``decode`` joins ids to the vocabulary's pieces.
@@ -27,42 +28,60 @@ from pyspark.sql import functions as F
 
 from xoutcome.llm.common import blocks, pack, ragged, shuffle_partitions, texts, unpack
 from xoutcome.llm.words import encoder, vocabulary_path
-from xoutcome.session import stored
 
-BLOCK = "part string, block string, bucket int, doc_ids array<long>, n_words array<long>, payload binary"
+BLOCK_BYTES = 8 << 20
+NUMBERED = "block string, doc_ids array<long>, n_words array<long>, payload binary, buckets binary"
 ENCODED = "block string, bucket int, payload binary"
 IDS = "doc_id long, n_tokens long, ids binary, decoded binary"
 
 
-def split_words(docs: DataFrame, buckets: int) -> DataFrame:
-    """One 'docs' row per block with the word numbers of its texts, and 'words' rows with its distinct words by bucket."""
+def _block(held: list[bytes]) -> tuple[str, list[bytes], list[int], np.ndarray]:
+    """Name (a digest of the texts), distinct words by falling frequency, words per text, word numbers of a block."""
+    name = hashlib.blake2b(digest_size=16)
+    numbers: dict[bytes, int] = {}
+    add, counts, codes = numbers.setdefault, [], []
+    for text in held:
+        name.update(len(text).to_bytes(8, "little") + text)
+        words = text.split()
+        counts.append(len(words))
+        codes += [add(w, len(numbers)) for w in words]
+    flat = np.array(codes, np.int64)
+    order = np.argsort(-np.bincount(flat, minlength=len(numbers)), kind="stable")
+    rank = np.empty(len(numbers), np.uint32)
+    rank[order] = np.arange(len(numbers), dtype=np.uint32)
+    words = list(numbers)
+    return name.hexdigest(), [words[i] for i in order.tolist()], counts, rank[flat]
+
+
+def word_lists(docs: DataFrame, buckets: int) -> DataFrame:
+    """(block, bucket, payload): the distinct words of every block, by bucket of the word's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, held in blocks(batches):
-            name = hashlib.blake2b(repr((len(ids), ids[0], ids[-1])).encode() + b"".join(t[:64] for t in held), digest_size=16)
-            name.update(b"".join(held))
-            block = name.hexdigest()
-            numbers: dict[bytes, int] = {}
-            add, counts, codes = numbers.setdefault, [], []
-            for text in held:
-                words = text.split()
-                counts.append(len(words))
-                codes += [add(w, len(numbers)) for w in words]
-            words = list(numbers)
-            bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
-            order = np.argsort(bucket, kind="stable")
-            new = np.empty(len(words), np.uint32)
-            new[order] = np.arange(len(words), dtype=np.uint32)
-            parts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = [("docs", block, -1, ids, counts, pack(new[np.array(codes, np.int64)]) if codes else pack(np.empty(0, np.uint32)))]
-            for b in np.unique(bucket).tolist():
-                mine = b"\n".join([words[i] for i in order[parts[b]:parts[b + 1]].tolist()])
-                rows.append(("words", block, b, [], [], zstandard.ZstdCompressor(level=3).compress(mine)))
-            yield pa.RecordBatch.from_pylist([dict(zip(("part", "block", "bucket", "doc_ids", "n_words", "payload"), r)) for r in rows], schema=SCHEMA)
-    return docs.mapInArrow(run, BLOCK)
-
-
-SCHEMA = pa.schema([("part", pa.string()), ("block", pa.string()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
-                    ("n_words", pa.list_(pa.int64())), ("payload", pa.binary())])
+        press = zstandard.ZstdCompressor(level=6).compress
+        for _, held in blocks(batches, BLOCK_BYTES):
+            block, words, _, _ = _block(held)
+            by: dict[int, list[bytes]] = {}
+            for w in words:
+                by.setdefault(zlib.crc32(w) % buckets, []).append(w)
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(by)), pa.array(list(by), pa.int32()),
+                                              pa.array([press(b"\n".join(v)) for v in by.values()], pa.binary())],
+                                             names=["block", "bucket", "payload"])
+    return docs.mapInArrow(run, ENCODED)
+
+
+def word_numbers(docs: DataFrame, buckets: int) -> DataFrame:
+    """One row per block: its documents, their numbers of words, and the places of their words in the block's ids.
+
+    Words are counted as ``encode_words`` returns them: bucket by bucket, each bucket in the order of its list.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, held in blocks(batches, BLOCK_BYTES):
+            block, words, counts, codes = _block(held)
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())),
+                pa.array([pack(codes)], pa.binary()), pa.array([pack(bucket)], pa.binary())],
+                names=["block", "doc_ids", "n_words", "payload", "buckets"])
+    return docs.mapInArrow(run, NUMBERED)
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
@@ -79,9 +98,11 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
             found = [ids[w] for w in mine]
             lengths = np.fromiter((len(x) // 4 for x in found), np.uint32, len(found))
             flat = np.frombuffer(b"".join(found), "<u4")
-            out.append(len(lengths).to_bytes(4, "little") + pack(np.concatenate([lengths, flat])))
+            flat = flat.astype(np.uint16) if not len(flat) or flat.max() < 1 << 16 else flat
+            sizes = pack(lengths)
+            out.append(np.array([len(sizes), flat.itemsize], "<u4").tobytes() + sizes + pack(flat))
         return pd.DataFrame({"block": group["block"], "bucket": group["bucket"], "payload": out})
-    return words.select("block", "bucket", "payload").groupBy("bucket").applyInPandas(run, ENCODED)
+    return words.groupBy("bucket").applyInPandas(run, ENCODED)
 
 
 def decode(ids: np.ndarray, pieces: np.ndarray) -> bytes:
@@ -89,31 +110,32 @@ def decode(ids: np.ndarray, pieces: np.ndarray) -> bytes:
     return b" ".join(pieces[ids].tolist())
 
 
-def join_ids(docs: DataFrame, encoded: DataFrame, path: str, decoded: bool = True) -> DataFrame:
+def join_ids(numbered: DataFrame, encoded: DataFrame, path: str, decoded: bool = True) -> DataFrame:
     """The ids of each document, its words' ids joined back by position, and the text that they decode to."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         lengths, flats = [], []
         for data in right.drop_duplicates("bucket").sort_values("bucket")["payload"]:
-            n = int.from_bytes(data[:4], "little")
-            both = unpack(data[4:], np.uint32)
-            lengths.append(both[:n])
-            flats.append(both[n:])
-        length = np.concatenate(lengths).astype(np.int64) if lengths else np.empty(0, np.int64)
-        flat = np.concatenate(flats) if flats else np.empty(0, np.uint32)
-        start = np.cumsum(length) - length
+            size, width = np.frombuffer(data[:8], "<u4").tolist()
+            lengths.append(unpack(data[8:8 + size], np.uint32))
+            flats.append(unpack(data[8 + size:], np.uint16 if width == 2 else np.uint32).astype("<u4"))
+        by_bucket = np.concatenate(lengths).astype(np.int64) if lengths else np.empty(0, np.int64)
+        flat = np.concatenate(flats) if flats else np.empty(0, "<u4")
         pieces = encoder(path).pieces() if decoded else None
         rows = []
-        # Equal blocks (repeated rows) share their words.
-        for doc_ids, counts, payload in zip(left["doc_ids"], left["n_words"], left["payload"]):
+        for doc_ids, counts, payload, buckets in zip(left["doc_ids"], left["n_words"], left["payload"], left["buckets"]):
+            order = np.argsort(unpack(buckets, np.uint32), kind="stable")
+            if len(order) != len(by_bucket):
+                raise RuntimeError("the rows came in another order on a second read; pass a stored table")
+            length, start = np.empty_like(by_bucket), np.empty_like(by_bucket)
+            length[order], start[order] = by_bucket, np.cumsum(by_bucket) - by_bucket
             codes, at = unpack(payload, np.uint32), 0
             for doc_id, n in zip(doc_ids, counts):
                 mine = codes[at:at + n]
                 at += n
                 ids = flat[ragged(start[mine], length[mine])]
-                rows.append((doc_id, len(ids), ids.astype("<u4").tobytes(), decode(ids, pieces) if decoded else None))
+                rows.append((doc_id, len(ids), ids.tobytes(), decode(ids, pieces) if decoded else None))
         return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids", "decoded"]).astype({"doc_id": "Int64"})
-    return docs.select("block", "doc_ids", "n_words", "payload").groupBy("block").cogroup(
-        encoded.groupBy("block")).applyInPandas(run, IDS)
+    return numbered.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(run, IDS)
 
 
 def bpe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, decoded: bool = True,
@@ -122,10 +144,8 @@ def bpe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str
 
     ``buckets`` is the number of parts of the word table; the default is the session's number of shuffle partitions.
     """
-    path = path or vocabulary_path()
-    split = stored(split_words(texts(df, id_col, text_col), buckets or shuffle_partitions(df.sparkSession)), "bpe-split")
-    encoded = encode_words(split.where(F.col("part") == "words"), path)
-    return join_ids(split.where(F.col("part") == "docs"), encoded, path, decoded)
+    path, buckets, docs = path or vocabulary_path(), buckets or shuffle_partitions(df.sparkSession), texts(df, id_col, text_col)
+    return join_ids(word_numbers(docs, buckets), encode_words(word_lists(docs, buckets), path), path, decoded)
 
 
 def digests(df: DataFrame) -> DataFrame:

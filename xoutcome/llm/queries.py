@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, minhash
+from xoutcome.llm import binary, bpe, minhash, suffixdedup
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": lambda spark, folder: bpe.digests(table(spark, folder, "documents")),
     "op3_minhash": lambda spark, folder: minhash.near_duplicates(table(spark, folder, "documents")),
     "op7_bit_planes": lambda spark, folder: binary.round_trip(table(spark, folder, "documents")),
+    "op8_suffix_array": lambda spark, folder: suffixdedup.digests(table(spark, folder, "documents")),
 }
 ORACLE_SQL: dict[str, str] = {}

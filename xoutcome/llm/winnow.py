@@ -75,10 +75,10 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, np.ndarray,
         yield joined()
 
 
-def runs(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(buffer, text number, offset of the buffer's part, first window, last window, anchor's hash) of all runs.
+def runs(texts: list[bytes]) -> Iterator[tuple]:
+    """(buffer, text number, shift, first window, last window, anchor, anchor's hash) of all runs.
 
-    Windows count in the buffer; subtract nothing but add the offset for the place in the text.
+    Windows and anchors count in the buffer; adding the shift makes them count in the text.
     """
     for number, data, begin, offset, starts in pieces(texts):
         hashes = gram_hashes(np.frombuffer(data, np.uint8))
@@ -89,4 +89,4 @@ def runs(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np
         new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])]))
         last = np.concatenate([new[1:], [len(windows)]]) - 1
         own = part[new]
-        yield data, number[own], offset[own] - begin[own], windows[new], windows[last], hashes[anchor[new]].view(np.int64)
+        yield data, number[own], offset[own] - begin[own], windows[new], windows[last], anchor[new], hashes[anchor[new]].view(np.int64)
