@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, minhash, suffixdedup
+from xoutcome.llm import binary, bpe, minhash, suffixdedup, toxicity
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,5 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash": lambda spark, folder: minhash.near_duplicates(table(spark, folder, "documents")),
     "op7_bit_planes": lambda spark, folder: binary.round_trip(table(spark, folder, "documents")),
     "op8_suffix_array": lambda spark, folder: suffixdedup.digests(table(spark, folder, "documents")),
+    "op10_toxicity": lambda spark, folder: toxicity.toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages"),
 }
 ORACLE_SQL: dict[str, str] = {}
