@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, minhash, sitetree, suffixdedup, toxicity
+from xoutcome.llm import binary, bpe, decontaminate, fingerprints, minhash, sitetree, suffixdedup, toxicity
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": lambda spark, folder: bpe.digests(table(spark, folder, "documents")),
     "op2_site_style_tree": lambda spark, folder: sitetree.main_text(table(spark, folder, "pages")),
     "op3_minhash": lambda spark, folder: minhash.near_duplicates(table(spark, folder, "documents")),
+    "op4_weighted_sampling": lambda spark, folder: fingerprints.fingerprints(table(spark, folder, "documents")),
+    "op5_containment": lambda spark, folder: decontaminate.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")),
     "op7_bit_planes": lambda spark, folder: binary.round_trip(table(spark, folder, "documents")),
     "op8_suffix_array": lambda spark, folder: suffixdedup.digests(table(spark, folder, "documents")),
     "op10_toxicity": lambda spark, folder: toxicity.toxicity(
         table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages"),
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_containment": decontaminate.ORACLE}
