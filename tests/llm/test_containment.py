@@ -32,7 +32,7 @@ def test_planted_items_of_all_sizes(spark, odd_docs):
     for i, words in items:
         for cut in (0, 1, len(words) // 8, len(words) // 4, len(words) // 2):
             kept = list(words)
-            for _ in range(cut):
+            for _ in range(cut if kept else 0):
                 kept[draw.randrange(len(kept))] = "changed" + str(draw.randrange(10**6))
             docs.append((len(docs), " ".join(prose(draw.choice([0, 30, 3000]), "d") + kept + prose(20, "e"))))
     docs += [(900, None), (901, ""), (902, docs[0][1]), (902, docs[0][1]), (None, " ".join(items[7][1]))]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, decontaminate, fingerprints, minhash, sitetree, suffixdedup, toxicity
+from xoutcome.llm import binary, bpe, decontaminate, fingerprints, minhash, sitetree, suffixdedup, toxicity, warc
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, folder, "documents"), table(spark, folder, "benchmark")),
     "op7_bit_planes": lambda spark, folder: binary.round_trip(table(spark, folder, "documents")),
     "op8_suffix_array": lambda spark, folder: suffixdedup.digests(table(spark, folder, "documents")),
+    "op9_warc_derivatives": lambda spark, folder: warc.digests(table(spark, folder, "pages")),
     "op10_toxicity": lambda spark, folder: toxicity.toxicity(
         table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages"),
 }
