@@ -30,6 +30,7 @@ from xoutcome.llm.common import blocks, pack, ragged, shuffle_partitions, texts,
 from xoutcome.llm.words import encoder, vocabulary_path
 
 BLOCK_BYTES = 8 << 20
+NO_ID = -(1 << 63)  # stands for a null id inside packed rows
 NUMBERED = "block string, doc_ids array<long>, n_words array<long>, payload binary, buckets binary"
 ENCODED = "block string, bucket int, payload binary"
 IDS = "doc_id long, n_tokens long, ids binary, decoded binary"
@@ -78,7 +79,7 @@ def word_numbers(docs: DataFrame, buckets: int) -> DataFrame:
             block, words, counts, codes = _block(held)
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))
             yield pa.RecordBatch.from_arrays([
-                pa.array([block]), pa.array([ids], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())),
+                pa.array([block]), pa.array([[NO_ID if i is None else i for i in ids]], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())),
                 pa.array([pack(codes)], pa.binary()), pa.array([pack(bucket)], pa.binary())],
                 names=["block", "doc_ids", "n_words", "payload", "buckets"])
     return docs.mapInArrow(run, NUMBERED)
@@ -133,8 +134,9 @@ def join_ids(numbered: DataFrame, encoded: DataFrame, path: str, decoded: bool =
                 mine = codes[at:at + n]
                 at += n
                 ids = flat[ragged(start[mine], length[mine])]
-                rows.append((doc_id, len(ids), ids.tobytes(), decode(ids, pieces) if decoded else None))
-        return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids", "decoded"]).astype({"doc_id": "Int64"})
+                rows.append((None if doc_id == NO_ID else int(doc_id), len(ids), ids.tobytes(), decode(ids, pieces) if decoded else None))
+        out = {name: [r[k] for r in rows] for k, name in enumerate(("doc_id", "n_tokens", "ids", "decoded"))}
+        return pd.DataFrame(out | {"doc_id": pd.array(out["doc_id"], "Int64")})
     return numbered.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(run, IDS)
 
 

@@ -66,3 +66,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id", rows: int = 1_000_000) -> DataFrame:
+    """``df`` less the rows whose id is among ``ids``; rows without an id stay. Only few ids (8 MB) are broadcast."""
+    ids = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
+    few = ids.limit(rows + 1).count() <= rows
+    return df.join(F.broadcast(ids) if few else ids, df[id_col] == F.col("_gone"), "left_anti")

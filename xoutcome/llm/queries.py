@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, decontaminate, fingerprints, minhash, sitetree, suffixdedup, toxicity, warc
+from xoutcome.llm import binary, bpe, decontaminate, fingerprints, katz, minhash, sitetree, suffixdedup, toxicity, warc
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_weighted_sampling": lambda spark, folder: fingerprints.fingerprints(table(spark, folder, "documents")),
     "op5_containment": lambda spark, folder: decontaminate.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")),
+    "op6_katz": lambda spark, folder: katz.language_model_scores(table(spark, folder, "documents")),
     "op7_bit_planes": lambda spark, folder: binary.round_trip(table(spark, folder, "documents")),
     "op8_suffix_array": lambda spark, folder: suffixdedup.digests(table(spark, folder, "documents")),
     "op9_warc_derivatives": lambda spark, folder: warc.digests(table(spark, folder, "pages")),

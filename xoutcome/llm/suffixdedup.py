@@ -122,6 +122,7 @@ def repeated_windows(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_byte
     """(key, first, last) of window starts whose string starts elsewhere too; spans of one text may be many."""
     table = stored(run_table(docs), "runs")
     shared = table.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), (F.min("content") != F.max("content")).alias("open")).where("times > 1")
+    shared = stored(shared, "anchors")  # as a table, so that Spark may split the join's large partitions
     met = stored(table.join(shared.select("anchor", "open"), "anchor"), "shared-runs")
     span = ["key", "first", "last"]
     decided = met.where("not open").select(span)
@@ -147,36 +148,63 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts(df, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
 
 
+def cut(text: bytes, windows: list[dict] | None) -> tuple[bytes, int, int]:
+    """The text without what the windows cover, the number of bytes gone, and of their maximal runs."""
+    parts, at, gone, n = [], 0, 0, 0
+    for first, last in sorted((w["first"], w["last"] + LENGTH) for w in windows or ()):
+        if not n or first > at:
+            parts.append(text[at:first])
+            n += 1
+            gone += last - first
+        else:
+            gone += max(0, last - at)
+        at = max(at, last)
+    parts.append(text[at:])
+    return b"".join(parts), gone, n
+
+
+def _with_windows(df: DataFrame, id_col: str, text_col: str, **limits) -> DataFrame:
+    docs = keyed(df, id_col, text_col)
+    windows = stored(repeated_windows(docs.select("key", "text"), **limits).groupBy("key").agg(
+        F.collect_list(F.struct("first", "last")).alias("windows")), "windows")
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+    return df.select(F.struct("*").alias("row"), key.alias("key")).join(windows, "key", "left").select("row", "windows")
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) per row; ``kept`` has the remaining bytes one after the other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches):
-            size, removed, spans, left = [], [], [], []
-            for text, windows in zip(column_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                parts, at, gone, n = [], 0, 0, 0
-                end = -1  # where the removed run ends
-                for first, last in sorted((w["first"], w["last"] + LENGTH) for w in windows or ()):
-                    if first > end:
-                        parts.append(text[at:first])
-                        n += 1
-                        gone += last - first
-                    else:
-                        gone += max(0, last - end)
-                    at = end = max(end, last)
-                parts.append(text[at:])
-                size.append(len(text))
-                removed.append(gone)
-                spans.append(n)
-                left.append(b"".join(parts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (size, removed, spans)), pa.array(left, pa.binary())],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    docs = keyed(df, id_col, text_col)
-    windows = stored(repeated_windows(docs.select("key", "text"), **limits).groupBy("key").agg(
-        F.collect_list(F.struct("first", "last")).alias("windows")), "windows")
-    return docs.join(windows, "key", "left").select("doc_id", "text", "windows").mapInArrow(
+            texts_ = column_bytes(batch.column(1))
+            rows = [cut(t, w) for t, w in zip(texts_, batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(map(len, texts_), pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([r[2] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.binary())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+    own = texts(df, id_col, text_col)
+    return _with_windows(own, "doc_id", "text", **limits).select("row.doc_id", "row.text", "windows").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
+def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """All rows and columns, with what stays of each text in the text column and its code points in ``chars_col``.
+
+    Where a cut goes through a character, what is left of the character goes too.
+    """
+    names, schema = df.columns, df.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batched(batches):
+            columns = dict(zip(names, batch.columns))
+            kept = [None if t is None else cut(t, w)[0].decode("utf-8", "ignore")
+                    for t, w in zip(column_bytes(columns[text_col]), batch.column(len(names)).to_pylist())]
+            columns[text_col] = pa.array(kept, columns[text_col].type)
+            if chars_col in columns:
+                columns[chars_col] = pa.array([len(t or "") for t in kept], columns[chars_col].type)
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+    return _with_windows(df, id_col, text_col).select("row.*", "windows").mapInArrow(run, schema)
+
+
 def digests(df: DataFrame) -> DataFrame:
     """The digest columns of the registered query."""
     return remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -210,3 +210,14 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(texts(documents), labels.where(fold() != 0).select(F.col("doc_id").cast("long"), "toxic"))
     return score(documents, model).select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
                                           (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, in all their columns, with a score below 0.5 under a model learned as in ``toxicity``."""
+    model = fit(texts(documents, id_col, text_col), labels.where(fold() != 0).select(F.col("doc_id").cast("long"), "toxic"))
+    at = documents.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([model.probability(passages_of(t or "", model)[0]) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
+    return documents.mapInArrow(run, documents.schema)
