@@ -56,3 +56,31 @@ def test_arrivals_are_added_once(spark, tmp_path):
     for _ in range(2):
         append_arrivals(spark, arrivals, store, df.schema, progress, ["id"]).awaitTermination()
     assert spark.read.parquet(store).count() == 10
+
+
+def test_header_names_decide(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("extra;batter;game_date\nx;7;2024-05-01\ny;no number;2024-05-02\n".encode("latin-1"))
+    rows = sorted(events.scan_events(spark, str(tmp_path)).collect(), key=lambda r: r["game_date"])
+    assert [f.name for f in S.RAW_SCHEMA.fields] == events.scan_events(spark, str(tmp_path)).columns
+    assert [(r["batter"], r["pitcher"]) for r in rows] == [(7, None), (None, None)]
+
+
+def test_arrivals_in_falling_days_and_null_keys(spark, tmp_path):
+    rows = [(i if i % 5 else None, D(2024, 1, 1) + dt.timedelta(days=i), 2024) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, game_date date, game_year int")
+    store, arrivals, progress = (str(tmp_path / n) for n in ("store", "arrivals", "progress"))
+    events.append_events(df.filter("id = 1"), store)
+    for low in (15, 10, 5, 0):
+        df.filter(F.col("game_date").between(D(2024, 1, 1) + dt.timedelta(days=low), D(2024, 1, 1) + dt.timedelta(days=low + 4))).coalesce(1).write.mode(
+            "append").parquet(arrivals)
+    for _ in range(2):
+        append_arrivals(spark, arrivals, store, df.schema, progress, ["id", "game_date"], files_per_batch=1).awaitTermination()
+    events.incremental_update(spark, store, df, ["id", "game_date"])
+    assert spark.read.parquet(store).count() == 20
+
+
+def test_marks_inside_texts(spark):
+    from xoutcome.functions import text
+    df = spark.createDataFrame([("Jo >> Doe singles",), ("nothing here",), ("",), (None,)], "t string")
+    got = [tuple(r) for r in df.select(text.extract_actor(F.col("t"), [" singles", " s"]), text.after_last_base(F.col("t"), ["Jo ", "(x"])).collect()]
+    assert got == [("Jo >> Doe", ">> Doe singles"), ("nothing here", "nothing here"), ("", ""), (None, None)]

@@ -298,8 +298,9 @@ def _(t: Tables):
 @query("abs_all", f"SELECT pitcher, batter, game_date, {r6('abs(xba - 0.05)', 'xba')}, "
        f"{r6('abs(cluster_attribute_1 - 0.05)', 'cluster_attribute_1')} FROM matchup_fx", ("matchup_fx",))
 def _(t: Tables):
-    cols = {c: F.abs(F.col(c) - 0.05) for c in ["xba", "cluster_attribute_1"]}
-    return t.matchup_fx.select("pitcher", "batter", "game_date", *[e.alias(c) for c, e in cols.items()])
+    names = ["xba", "cluster_attribute_1"]
+    moved = t.matchup_fx.withColumns({c: F.col(c) - 0.05 for c in names})
+    return moved.withColumns(values.abs_all(names)).select("pitcher", "batter", "game_date", *names)
 
 
 @query("clean_ratio", f"SELECT pitcher, game_date, {r6('CASE WHEN bb <> 0 THEN CAST(k AS DOUBLE) / bb ELSE 0 END', 'ratio')} "
@@ -366,5 +367,4 @@ def _(t: Tables):
 @query("weight_target", f"SELECT pitcher, game_date, {r6('xba * pa', 'weighted_target')}, pa AS weighted_pa FROM day_fx",
        ("day_fx",))
 def _(t: Tables):
-    return t.day_fx.select("pitcher", "game_date", (F.col("xba") * F.col("pa")).alias("weighted_target"),
-                           F.col("pa").alias("weighted_pa"))
+    return t.day_fx.withColumns(values.weight_target("xba", "pa")).select("pitcher", "game_date", "weighted_target", "weighted_pa")

@@ -2,33 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from xoutcome import schema as S
 
-MARK = ">>"
-
-
-def _marked(text: Column, words: list[str]) -> Column:
-    return reduce(lambda c, word: F.replace(c, F.lit(word), F.lit(MARK)), words, text)
+def _any_of(words: list[str]) -> str:
+    """A pattern of the words as they stand, longer ones first."""
+    return "|".join(f"\\Q{w}\\E" for w in sorted(words, key=len, reverse=True))
 
 
 def extract_actor(text: Column, words: list[str] = S.ACTION_WORDS) -> Column:
     """Text before the first action word."""
-    return F.substring_index(_marked(text, words), MARK, 1)
+    return F.split(text, _any_of(words), 2)[0]
 
 
 def after_last_base(text: Column, marks: list[str] = S.BASE_MARKS) -> Column:
     """Text after the last mention of a base."""
-    return F.substring_index(_marked(text, marks), MARK, -1)
+    return F.element_at(F.split(text, _any_of(marks), -1), -1)
 
 
 def after_challenge(text: Column, marks: list[str] = S.CHALLENGE_MARKS) -> Column:
     """Text after the outcome of a challenge."""
-    return F.substring_index(_marked(text, marks), MARK, -1)
+    return F.element_at(F.split(text, _any_of(marks), -1), -1)
 
 
 def null_if_long(text: Column, limit: int = S.NAME_LIMIT) -> Column:

@@ -76,3 +76,13 @@ def strikeout_rate(k: Column, pa: Column, played: Column) -> Column:
 def walk_rate(bb: Column, pa: Column, played: Column) -> Column:
     """bb per plate appearance or walk on rows that count, else 0."""
     return F.when(F.coalesce(played != 0, F.lit(True)), clean_ratio(bb, pa + bb)).otherwise(0.0)
+
+
+def abs_all(columns: list[str]) -> dict[str, Column]:
+    """Absolute values under the columns' own names."""
+    return {c: F.abs(F.col(c)) for c in columns}
+
+
+def weight_target(target: str = "xba", weight: str = "pa") -> dict[str, Column]:
+    """Target times weight, and the weight beside it."""
+    return {"weighted_target": F.col(target) * F.col(weight), "weighted_pa": F.col(weight)}

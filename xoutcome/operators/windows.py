@@ -40,7 +40,7 @@ def fill_backward_forward(df: DataFrame, columns: list[str], by: list[str], orde
     held = df.withColumn("_held", F.when(~V.any_null(columns), F.struct(*columns)))
     picks = []
     if prefer_same_day:
-        held = next_and_previous(held, "_held", [*by, day], order, descending, split_on, max_rows)
+        held = next_and_previous(held, "_held", [*by, day], order, descending, split_on or order, max_rows)
         held = held.withColumnsRenamed({"_next": "_day_next", "_prev": "_day_prev"})
         picks = ["_day_next", "_day_prev"]
     held = next_and_previous(held, "_held", by, order, descending, split_on or order, max_rows)

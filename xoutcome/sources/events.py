@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,16 @@ EVENT_KEY = ["game_pk", "at_bat_number", "pitch_number"]
 
 
 def scan_events(spark: SparkSession, path: str, schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
-    """Raw event text files with a fixed schema (S1): no pass to guess types, and splits are read in parallel."""
-    return (spark.read.schema(schema).option("sep", ";").option("header", True)
-            .option("enforceSchema", False).option("encoding", "ISO-8859-1").csv(path))
+    """Raw event text files by the names in their header (S1): any order, more columns or fewer.
+
+    Only the header line is read beforehand. Columns that the files lack are null, those that the schema lacks are
+    not parsed; a value that does not fit its type is null.
+    """
+    rows = spark.read.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    present = {c.strip().lower(): c for c in reversed(rows.columns)}
+    return rows.select(*[
+        (F.col(f"`{present[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in present else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields])
 
 
 def scan_partitioned(spark: SparkSession, path: str, seasons: tuple[int, int], teams: list[str] | None = None,
@@ -41,20 +48,26 @@ def high_water_mark(df: DataFrame, day: str = "game_date") -> DataFrame:
     return df.agg(F.max(F.try_to_date(day)).alias("mark"))
 
 
-def new_rows(stored: DataFrame, batch: DataFrame, key: list[str], day: str = "game_date") -> DataFrame:
-    """Rows of a batch from the stored mark on that the store does not hold yet.
+def new_rows(stored: DataFrame, batch: DataFrame, key: list[str], day: str = "game_date", partition: str = "game_year") -> DataFrame:
+    """Rows of a batch that the store does not hold yet (S6), late days among them.
 
-    Only stored rows of the last day can meet the batch, so the anti join reads that day alone.
+    The anti join reads the store's partitions and days from the batch's first to its last; equal null keys are equal.
     """
-    mark = stored.agg(F.max(day)).first()[0]
     fresh = drop_deprecated(batch).dropDuplicates(key)
-    if mark is None:
-        return fresh
-    tail = stored.filter(F.col(day) >= F.lit(mark)).select(*key)
-    return fresh.filter(F.col(day) >= F.lit(mark)).join(tail, key, "left_anti")
+
+    def touched(c: str) -> Column:
+        low, high, nulls = fresh.agg(F.min(c), F.max(c), F.count(F.when(F.col(c).isNull(), 1))).first()
+        inside = F.col(c).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
+        return inside | F.col(c).isNull() if nulls else inside
+    columns = [c for c in dict.fromkeys((partition, day)) if c in fresh.columns]
+    held = stored
+    for c in columns:
+        held = held.filter(touched(c))
+    held = held.select(*[F.col(k).alias(f"_{k}") for k in key])
+    return fresh.join(held, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left_anti")
 
 
 def incremental_update(spark: SparkSession, path: str, batch: DataFrame, key: list[str] = EVENT_KEY,
                        day: str = "game_date", partition: str = "game_year") -> None:
     """Append what is new in ``batch`` (S6); a batch that comes twice adds nothing the second time."""
-    append_events(new_rows(spark.read.parquet(path), batch, key, day), path, partition)
+    append_events(new_rows(spark.read.parquet(path), batch, key, day, partition), path, partition)

@@ -14,10 +14,11 @@ def append_arrivals(spark: SparkSession, arrivals: str, store: str, schema: T.St
                     files_per_batch: int = 1000) -> StreamingQuery:
     """Append all files not seen before, then stop.
 
-    A batch that is run again after a failure finds its own rows in the store and adds none of them.
+    A batch that is run again after a failure finds its own rows in the store and adds none of them. Days may come in
+    any order over the batches.
     """
     def add(batch: DataFrame, _: int) -> None:
-        append_events(new_rows(spark.read.parquet(store), batch, key, day), store, partition)
+        append_events(new_rows(spark.read.parquet(store), batch, key, day, partition), store, partition)
 
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(arrivals)
             .writeStream.foreachBatch(add).option("checkpointLocation", progress)
