@@ -25,7 +25,7 @@ def test_articles_of_all_pages(spark, middle):
 
 
 def test_blocks():
-    page = ("<body><div class='cookie-notice'>We use cookies</div><header><h1>Site</h1></header><div id=content><p>One&nbsp;two <b>three<br>four"
+    page = ("<body><div class='cookie-notice'>We use cookies</div><header><h1>Site</h1></header><div id=content class='has-sidebar'><p>One&nbsp;two <b>three<br>four"
             "<p>a &lt; b<ul><li>x<li>y</ul></div><aside>more</aside><form><p>mail</p></form><section class=comments><p>first!</p></section>"
             "<script>if (a</b) { '<p>no</p>' }</script><style>p{}</style><!-- <p>none</p> --><p>last</body>")
     blocks = [b.text for b in dom.read(page)[0] if not b.noise]

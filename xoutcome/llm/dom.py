@@ -121,7 +121,7 @@ class _Reader(HTMLParser):
         if own.get("role") in NOISE_ROLES or "hidden" in own or own.get("aria-hidden") == "true":
             return True
         words = set(_TOKENS.split(own.get("class", "") + " " + own.get("id", "")))
-        return bool(words & NOISE_WORDS)
+        return bool(words & NOISE_WORDS) and not words & {"with", "has", "no", "without"}  # "content with-sidebar" is no sidebar
 
 
 def read(html: str) -> tuple[list[Block], dict[str, list[str]]]:

@@ -1,4 +1,4 @@
-"""The registered queries of this package; no SQL can state them on whole tables, so tests hold them to brute force."""
+"""The registered queries of this package; those that SQL can't state are held to brute force by the tests."""
 
 from __future__ import annotations
 
@@ -23,4 +23,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": lambda spark, folder: toxicity.toxicity(
         table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages"),
 }
-ORACLE_SQL: dict[str, str] = {"op5_containment": decontaminate.ORACLE}
+_CLASSES = f"""WITH RECURSIVE s AS ({decontaminate._SETS.format(id='doc_id', table='documents')}),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(coalesce(b, doc_id), doc_id) AS component_id, coalesce(b >= doc_id, TRUE) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = doc_id"""
+ORACLE_SQL: dict[str, str] = {"op3_minhash": _CLASSES, "op5_containment": decontaminate.ORACLE}
