@@ -143,16 +143,20 @@ _BATTER_OUT = [f"{c}_estimated" for c in [*SOFT, *HARD]]
 _SIDES = f"""{_DAILY}, {batter_side('hard', [*SOFT, *HARD])},
 b AS (SELECT * FROM batter_side WHERE {_whole(_BATTER_OUT)}),
 h AS (SELECT * FROM pitcher_hard WHERE {_whole(_HARD_OUT)}), s AS (SELECT * FROM pitcher_soft WHERE {_whole(_SOFT_OUT)})"""
+# A pair has one row a day here, so daily maxima and minima are made as multiples, whose rolls are multiples too.
+_SPREAD = {"max": 1.5, "min": 0.5}
+_SPREAD_SQL = ", ".join(r6(f"COALESCE({by}::DOUBLE * {c}_roll, 0)", f"{c}_{end}_roll") for c in SOFT for end, by in _SPREAD.items())
 _FEATURES = ", ".join(r6(f"COALESCE({c}, 0)", c) for c in [*_HARD_OUT, *_SOFT_OUT, *_BATTER_OUT])
 
 
 @query("matchup_features", f"""WITH {_SIDES}
-SELECT m.pitcher, m.batter, m.game_date, pa, {r6s('xba')}, {_FEATURES} FROM hard m
+SELECT m.pitcher, m.batter, m.game_date, pa, {r6s('xba')}, {_FEATURES}, {_SPREAD_SQL} FROM hard m
 JOIN h ON h.pitcher = m.pitcher AND h.game_date = m.game_date JOIN s ON s.pitcher = m.pitcher AND s.game_date = m.game_date
 JOIN b ON b.batter = m.batter AND b.game_date = m.game_date WHERE xba IS NOT NULL AND pa <> 0""", ("matchup_fx",))
 def _(t: Tables):
     rows = matchups(t)
-    return matchup_features(rows, rows, HARD, SOFT, target="xba")
+    wide = rows.withColumns({f"{c}_{end}": F.col(c) * by for c in SOFT for end, by in _SPREAD.items()})
+    return matchup_features(wide, rows, HARD, SOFT, target="xba", spread=[f"{c}_{end}" for c in SOFT for end in _SPREAD])
 
 
 @query("matchup_feature_join", f"""WITH {_SIDES}

@@ -32,8 +32,8 @@ class BuildSettings:
     target: str = S.TARGET
 
 
-def _written(spark: SparkSession, folder: str, name: str, df: DataFrame) -> DataFrame:
-    write_tables(folder, {name: df})
+def _written(spark: SparkSession, folder: str, name: str, df: DataFrame, *partition: str) -> DataFrame:
+    write_tables(folder, {name: df}, *partition)
     return spark.read.parquet(f"{folder}/{name}")
 
 
@@ -44,7 +44,7 @@ def fresh_build(raw: DataFrame, folder: str, settings: BuildSettings | None = No
     """
     s = settings or BuildSettings()
     spark = raw.sparkSession
-    clean = _written(spark, folder, "events_clean", clean_events(raw, s.order))
+    clean = _written(spark, folder, "events_clean", clean_events(raw, s.order), "game_year")  # for the split by year
     train, test = temporal_split(clean, s.min_games)
     model, _ = learn_clusters(train, goal=s.goal, min_rows=s.min_rows, mini=s.clusters[0], maxi=s.clusters[1],
                               restarts=s.restarts, fuzzy_rounds=s.fuzzy_rounds)
@@ -63,7 +63,8 @@ def fresh_build(raw: DataFrame, folder: str, settings: BuildSettings | None = No
         features["batter", part] = batter_features(batters, target=s.target)
         features["pitcher", part] = pitcher_features(pitchers, target=s.target)
         features["matchup", part] = matchup_features(
-            matchups, at_bats(rows, soft, hard, s.target), hard, soft, target=s.target)
+            matchups, at_bats(rows, soft, hard, s.target), hard, soft, target=s.target,
+            spread=[f"{c}_{end}" for c in soft for end in ("max", "min")])
     for (kind, part), df in list(features.items()):
         features[kind, part] = _written(spark, folder, f"{kind}_features_{part}", df)
     fit = lambda kind, df: modelling.fit_model(df, kind, s.target, **s.forests.get(kind, {}))

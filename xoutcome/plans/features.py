@@ -69,12 +69,13 @@ def pitcher_features(df: DataFrame, depth: int = 22, bin_size: int = 7, target:
 
 def matchup_features(matchups: DataFrame, at_bats: DataFrame, hard: list[str], soft: list[str],
                      weights: list[str] | None = None, depth: int = 30, pitcher_min: int = 3, batter_min: int = 10,
-                     target: str = S.TARGET) -> DataFrame:
+                     target: str = S.TARGET, spread: list[str] = ()) -> DataFrame:
     """Features of both sides for each matchup and day, with ``pa`` as the weight.
 
-    ``at_bats`` holds one row per segment with its target and cluster columns.
+    ``at_bats`` holds one row per segment with its target and cluster columns. ``spread`` names further columns of
+    ``matchups`` that are rolled like the soft clusters, as their daily maxima and minima (W5).
     """
-    pitcher_side = pitcher_cluster_rolls(matchups, hard, soft, depth, pitcher_min)
+    pitcher_side = pitcher_cluster_rolls(matchups, hard, [*soft, *spread], depth, pitcher_min)
     batter_side = rolling_weighted_ratio(at_bats, weights or [*soft, *hard], target, depth, batter_min)
     rows = drop_null_rows(matchups.select("pitcher", "batter", DAY, target, "pa"))
     return matchup_feature_join(rows, pitcher_side, batter_side).filter(F.col("pa") != 0)

@@ -10,10 +10,10 @@ def table_path(folder: str, name: str) -> str:
     return f"{folder}/{name}"
 
 
-def write_tables(folder: str, tables: dict[str, DataFrame]) -> None:
-    """Write each table as Parquet (S7); arrays stay arrays."""
+def write_tables(folder: str, tables: dict[str, DataFrame], *partition: str) -> None:
+    """Write each table as Parquet (S7), in folders by the ``partition`` columns; arrays stay arrays."""
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(table_path(folder, name))
+        df.write.mode("overwrite").partitionBy(*partition).parquet(table_path(folder, name))
 
 
 def write_split(folder: str, kind: str, train: DataFrame, test: DataFrame) -> None:
