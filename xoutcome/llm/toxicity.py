@@ -2,10 +2,13 @@
 
 Learning, from a bounded sample of labelled texts (``TRAIN_ROWS`` of least hash):
 
-1. Per feature (a word, or its first 4, 5 or 6 letters) the number of toxic and of clean texts with it; log-odds under
-   a symmetric Dirichlet prior and their z-values. At most ``FEATURES`` features with z >= ``Z_LEAST`` are kept.
-2. A token scores the log-odds of its most specific kept feature (0 if none) less ``DRIFT``, so that a clean text
-   drifts down. The scale of the extreme-value law is the positive root of sum(p * exp(scale * score)) = 1.
+1. Per feature (a word, or its first 3 to 6 letters) its numbers of occurrences and of texts, in toxic and in clean
+   texts. A feature is kept if the log-odds of its texts under a symmetric Dirichlet prior have a z-value of
+   ``Z_LEAST`` or more, at most ``FEATURES`` of them; a word met in ``OWN_TEXTS`` texts goes by its own counts, though
+   its first letters may be kept.
+2. A token scores the log-odds of its most specific feature by occurrences. Any other token costs ``drift``, the
+   log-odds of a token without a feature (``DRIFT`` at least), so that a clean text drifts down. The scale of the
+   extreme-value law is the positive root of sum(p * exp(scale * score)) = 1 over clean texts.
 3. A logistic curve over the texts' evidence, fitted on the same sample.
 
 Scoring, over all texts: one linear scan finds all maximal segments; a segment with sum S in a text of n tokens has
@@ -30,22 +33,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from xoutcome.llm.common import texts
+from xoutcome.session import stored
 
 TRAIN_ROWS = 50_000
 FEATURES = 20_000
 PRIOR = 0.5
 Z_LEAST = 3.3
-DRIFT = 1.0
-E_MOST = 0.05
-PREFIXES = (6, 5, 4)
+OWN_TEXTS = 5
+DRIFT = 0.02
+E_MOST = 0.5
+PREFIXES = (6, 5, 4, 3)
+ALL = " all"  # counts all texts and tokens; no token has a space
 TOKEN = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Scores of features (prefixes end in ``*``), the scale, and the logistic curve's parameters."""
+    """Scores of features (prefixes end in ``*``), drift, scale, and the logistic curve's parameters."""
 
     scores: dict[str, float] = field(default_factory=dict)
+    drift: float = DRIFT
     scale: float = 1.0
     base: float = 0.0
     slope: float = 0.0
@@ -93,13 +100,13 @@ def passages_of(text: str, model: Model) -> tuple[float, list[dict]]:
             for k in PREFIXES:
                 if len(t) > k and (s := scores.get(t[:k] + "*")) is not None:
                     break
-        if s is not None and s > DRIFT:
-            hits.append((i, s - DRIFT))
+        if s is not None and s > 0:
+            hits.append((i, s))
     if not hits:
         return 0.0, []
     evidence, found = 0.0, []
     spans = [m.span() for m in TOKEN.finditer(low)]
-    for first, last, total in maximal_segments(hits, DRIFT):
+    for first, last, total in maximal_segments(hits, model.drift):
         log_e = math.log(len(tokens)) - model.scale * total
         if log_e <= math.log(E_MOST):
             evidence -= log_e
@@ -133,37 +140,44 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by: tuple[Counter, Counter] = (Counter(), Counter())
+            by = [Counter() for _ in range(4)]  # texts and occurrences, clean and toxic
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tokens = TOKEN.findall(text.lower())
-                by[toxic > 0].update({f for t in set(tokens) for f in features_of(t)})
-                by[toxic > 0][" texts"] += 1
-                by[toxic > 0][" tokens"] += len(tokens)
-            keys = list(by[0].keys() | by[1].keys())
+                own = Counter()
+                for t, n in Counter(tokens).items():
+                    for f in features_of(t):
+                        own[f] += n
+                own[ALL] = len(tokens)
+                side = 2 * (toxic > 0)
+                by[side].update(own.keys())
+                by[side + 1].update(own)
+            keys = list({k for c in by for k in c})
             yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array([c[k] for k in keys], pa.int64()) for c in by)],
-                                             names=["feature", "clean", "toxic"])
-
-    counted = sample.mapInArrow(count, "feature string, clean long, toxic long").groupBy("feature").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    # One toxic text in five at the most can lack what tells; fewer than five texts never reach the z-value.
-    kept = counted.where((F.col("toxic") >= 5) | F.col("feature").isin(" texts", " tokens"))
-    order = F.when(F.col("feature").startswith(" "), F.lit(math.inf)).otherwise(
-        F.log((F.col("toxic") + PRIOR) / (F.col("clean") + PRIOR)) / F.sqrt(1 / (F.col("toxic") + PRIOR) + 1 / (F.col("clean") + PRIOR)))
-    rows_ = {r["feature"]: r for r in kept.orderBy(order.desc(), "feature").limit(FEATURES + 2).collect()}
-    texts_, tokens_ = rows_.pop(" texts", None), rows_.pop(" tokens", None)
-    if texts_ is None or not texts_["clean"] or not texts_["toxic"]:
-        n0, n1 = (texts_["clean"], texts_["toxic"]) if texts_ else (0, 0)
+                                             names=["feature", "d0", "c0", "d1", "c1"])
+
+    counts = ["d0", "c0", "d1", "c1"]
+    counted = stored(sample.mapInArrow(count, "feature string, d0 long, c0 long, d1 long, c1 long").groupBy("feature").agg(
+        *[F.sum(c).alias(c) for c in counts]).where(F.col("d0") + F.col("d1") >= OWN_TEXTS), "features")
+    all_ = counted.where(F.col("feature") == ALL).first()
+    if all_ is None or not all_["d0"] or not all_["d1"]:
+        n0, n1 = (all_["d0"], all_["d1"]) if all_ else (0, 0)
         return Model(base=math.log((n1 + PRIOR) / (n0 + PRIOR)))
-    n0, n1 = texts_["clean"], texts_["toxic"]
-    scores = {}
-    for name, r in rows_.items():
-        y0, y1 = r["clean"] + PRIOR, r["toxic"] + PRIOR
-        odds = math.log(y1 / (n1 + 2 * PRIOR - y1 + PRIOR)) - math.log(y0 / (n0 + 2 * PRIOR - y0 + PRIOR))
-        if odds / math.sqrt(1 / y0 + 1 / y1) >= Z_LEAST and odds > DRIFT:
-            scores[name] = odds
-    total = max(1, tokens_["clean"])
-    chances = [((rows_[f]["clean"] + PRIOR) / total, s - DRIFT) for f, s in scores.items() if not f.endswith("*")]
-    model = Model(scores, _solved([*chances, (max(0.0, 1 - sum(p for p, _ in chances)), -DRIFT)]))
+    odds = F.log((F.col("d1") + PRIOR) / (all_["d1"] - F.col("d1") + PRIOR)) - F.log((F.col("d0") + PRIOR) / (all_["d0"] - F.col("d0") + PRIOR))
+    z = odds / F.sqrt(1 / (F.col("d0") + PRIOR) + 1 / (F.col("d1") + PRIOR))
+    kept = {r["feature"]: r for r in counted.where(F.col("feature") != ALL).where(z >= Z_LEAST).orderBy(z.desc(), "feature").limit(FEATURES).collect()}
+    starts = [f[:-1] for f in kept if f.endswith("*")]
+    longer = F.lit(False)
+    for k in PREFIXES:
+        longer |= F.substring("feature", 1, k).isin([p for p in starts if len(p) == k])
+    words = counted.where(~F.col("feature").endswith("*") & (F.col("feature") != ALL) & longer)
+    kept |= {r["feature"]: r for r in words.orderBy((F.col("d0") + F.col("d1")).desc(), "feature").limit(FEATURES).collect()}
+    scores = {f: math.log((r["c1"] + PRIOR) / (all_["c1"] + PRIOR)) - math.log((r["c0"] + PRIOR) / (all_["c0"] + PRIOR)) for f, r in kept.items()}
+    # Tokens by their most specific feature: what a prefix has beyond its kept words is left to the prefix.
+    share = [[max(0, r[c]) / max(1, all_[c]) for f, r in kept.items() if not f.endswith("*") and scores[f] > 0] for c in ("c0", "c1")]
+    drift = max(DRIFT, math.log(max(1e-6, 1 - min(0.5, sum(share[0])))) - math.log(max(1e-6, 1 - min(0.5, sum(share[1])))))
+    chances = [((r["c0"] + PRIOR) / max(1, all_["c0"]), scores[f]) for f, r in kept.items() if scores[f] > 0 and not (
+        f.endswith("*") and any(f[:-1].startswith(o[:-1]) for o in kept if o != f and o.endswith("*")))]
+    model = Model(scores, drift, _solved([*chances, (max(0.0, 1 - sum(p for p, _ in chances)), -drift)]))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     bins = sample.mapInArrow(gather, "evidence long, toxic long").groupBy("evidence").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("k")).collect()  # 101 rows at most
     base, slope = _logistic(*(np.array([b[c] for b in bins], float) for c in ("evidence", "n", "k")))
-    return Model(scores, model.scale, base, slope)
+    return Model(scores, drift, model.scale, base, slope)
 
 
 def _logistic(x: np.ndarray, n: np.ndarray, k: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
