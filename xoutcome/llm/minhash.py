@@ -4,8 +4,10 @@ The path of a document:
 
 1. ``signatures``: distinct five-word shingles, ``ROWS * BANDS`` minima of universal hash functions, a key of the set.
 2. Documents with equal sets are linked by that key; one of them stands for all from here on.
-3. In each band bucket every member is paired with the least one (a star, not all pairs). Pairs whose signatures
-   agree in ``AGREE`` places at least are confirmed on the full sets, and the confirmed links give components.
+3. In each bucket of the first ``FIRST`` bands every member is paired with the least one (a star, not all pairs). Pairs
+   whose signatures agree in ``AGREE`` places at least are confirmed on the full sets, and the confirmed links give
+   components. Then the same over all bands, with one member for each component in a bucket: a large group, which
+   would have other stars in every band, is one component by then.
 4. A bucket that still spans several components has members that were not compared. Only there, members of
    different components are compared by signature, in tiles of ``TILE`` x ``TILE`` inside tasks; what may reach the
    threshold is confirmed on the full sets as before.
@@ -34,6 +36,7 @@ from xoutcome.llm.shingles import Shingler
 from xoutcome.session import stored
 
 ROWS, BANDS = 4, 32
+FIRST = 4
 AGREE = 72
 TILE = 512
 BROADCAST_IDS = 1_000_000
@@ -71,10 +74,25 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def band_rows(signed: DataFrame) -> DataFrame:
-    """(band, doc_id): one row per document and band; equal rows of a band have equal hashes."""
+    """(number, band, doc_id): one row per document and band; equal rows of a band have equal hashes."""
     width = 4 * ROWS
     keys = F.array(*[F.xxhash64(F.substring("sig", 1 + width * i, width), F.lit(i)) for i in range(BANDS)])
-    return signed.select("doc_id", F.explode(keys).alias("band"))
+    return signed.select("doc_id", F.posexplode(keys).alias("number", "band"))
+
+
+def star_pairs(bands: DataFrame, component: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of a bucket's least member and the least member of each of its other components."""
+    if component is None:
+        least = bands.select("band", F.col("doc_id").alias("b"))
+    else:
+        least = _named(bands, component).groupBy("band", "component").agg(F.min("doc_id").alias("b"))
+    heads = least.groupBy("band").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "a")
+    return least.join(heads, "band").where("a <> b").select("a", "b").distinct()
+
+
+def _named(bands: DataFrame, component: DataFrame) -> DataFrame:
+    return bands.join(component, bands["doc_id"] == component["node"], "left").select(
+        "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
 
 
 def agreeing(pairs: DataFrame, signed: DataFrame, least: int = AGREE) -> DataFrame:
@@ -117,8 +135,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similarity: tuple[int, int] = (
 
 def _open_pairs(bands: DataFrame, component: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs of one bucket but different components whose signatures agree, from buckets of three members or more."""
-    named = bands.join(component, bands["doc_id"] == component["node"], "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    named = _named(bands, component)
     spans = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                       F.count(F.lit(1)).alias("n")).where("lo < hi and n > 2").select("band", "n")
     members = named.join(spans, "band").withColumn("parts", F.ceil(F.col("n") / TILE).cast("int")).withColumn(
@@ -152,13 +169,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         equal.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "sig"), "representatives")
 
     bands = band_rows(signed)
-    heads = bands.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    bands = stored(bands.join(heads, "band").select("band", "doc_id", "a"), "bands")  # buckets of two members or more
-    stars = bands.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    first = stored(confirmed(stored(agreeing(stars, signed), "pairs"), docs), "links")
-    component = connected_components(first)
-    second = confirmed(stored(_open_pairs(bands.select("band", "doc_id"), component, signed), "pairs"), docs)
-    component = connected_components(first.union(second))
+    met = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    bands = stored(bands.join(met, "band").select("number", "band", "doc_id"), "bands")  # buckets of two members or more
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        return stored(confirmed(stored(pairs, "pairs"), docs), "links")
+    links = links_of(agreeing(star_pairs(bands.where(F.col("number") < FIRST)), signed))
+    links = links.union(links_of(agreeing(star_pairs(bands, connected_components(links)), signed)))
+    links = links.union(links_of(_open_pairs(bands, connected_components(links), signed)))
+    component = connected_components(links)
 
     named = all_signed.select("doc_id", "n_shingles", "set_key").join(equal, "set_key", "left").withColumn(
         "rep", F.coalesce("rep", "doc_id"))
