@@ -87,14 +87,15 @@ def _block(bounds: list) -> Column:
     return F.when(group > 0, (group - 1) * step + F.size(inside)).otherwise(0)
 
 
-def with_next(rows: DataFrame, column: str, order: list) -> DataFrame:
+def with_next(rows: DataFrame, column: str, order: list, loose: DataFrame | None = None) -> DataFrame:
     """``next``: the column's value in the row after, in the order of blocks and inside them; the first after the last.
 
-    Rows are partitioned by block; of other blocks only the first row is looked at.
+    Rows are partitioned by block; of other blocks only the first row is looked at. ``loose`` has the same rows not
+    yet partitioned, from which the first rows come by partial minima, without a shuffle of all.
     """
     inside = Window.partitionBy("block").orderBy(*order)
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("o1"), F.col("tie").alias("o2"), F.col(column).alias("v")))
-    heads = stored(rows.groupBy("block").agg(first.alias("head")).select("block", F.col("head.v").alias("head")), "heads")
+    heads = stored((rows if loose is None else loose).groupBy("block").agg(first.alias("head")).select("block", F.col("head.v").alias("head")), "heads")
     chain = heads.select("block").select("block", F.coalesce(
         F.lead("block").over(Window.orderBy("block")), F.min("block").over(Window.partitionBy())).alias("after"))
     after = chain.join(heads.select(F.col("block").alias("after"), "head"), "after").select("block", "head")
@@ -112,7 +113,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]  # parts - 1 numbers
     blocked = docs.withColumn("block", _block(sorted(set(cuts or []))).cast("long")).withColumn("tie", F.xxhash64("text"))
     order = [F.col("doc_id").asc_nulls_first(), "tie"]
-    rows = with_next(blocked.repartition(parts, "block"), "text", order)
+    rows = with_next(blocked.repartition(parts, "block"), "text", order, blocked)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next"), F.lit(1), half)))
