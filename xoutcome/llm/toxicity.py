@@ -87,21 +87,31 @@ def maximal_segments(items: list[tuple[int, float]], drift: float) -> list[tuple
     return [(a, b, right - left) for a, b, left, right in stack]
 
 
-def passages_of(text: str, model: Model) -> tuple[float, list[dict]]:
+class TokenScores(dict):
+    """Scores of tokens, each looked up once while it is among ``limit`` remembered ones; 0 without a feature."""
+
+    def __init__(self, scores: dict[str, float], limit: int = 500_000):
+        super().__init__()
+        self.scores, self.limit = scores, limit
+
+    def __missing__(self, token: str) -> float:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self.scores.get(token)
+        if found is None:
+            found = next((s for k in PREFIXES if len(token) > k and (s := self.scores.get(token[:k] + "*")) is not None), 0.0)
+        self[token] = found
+        return found
+
+
+def passages_of(text: str, model: Model, known: TokenScores | None = None) -> tuple[float, list[dict]]:
     """The evidence of a text and its passages as character spans."""
-    scores, low = model.scores, text.lower()
-    if not scores or not low:
+    low = text.lower()
+    if not model.scores or not low:
         return 0.0, []
+    known = TokenScores(model.scores) if known is None else known
     tokens = TOKEN.findall(low)
-    hits = []
-    for i, t in enumerate(tokens):
-        s = scores.get(t)
-        if s is None:
-            for k in PREFIXES:
-                if len(t) > k and (s := scores.get(t[:k] + "*")) is not None:
-                    break
-        if s is not None and s > 0:
-            hits.append((i, s))
+    hits = [(i, s) for i, t in enumerate(tokens) if (s := known[t]) > 0]
     if not hits:
         return 0.0, []
     evidence, found = 0.0, []
@@ -180,8 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     model = Model(scores, drift, _solved([*chances, (max(0.0, 1 - sum(p for p, _ in chances)), -drift)]))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = TokenScores(model.scores)
         for batch in batches:
-            values = [round(min(passages_of(t, model)[0], 100.0)) for t in batch.column(0).to_pylist()]
+            values = [round(min(passages_of(t, model, known)[0], 100.0)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), batch.column(1).cast(pa.int64())], names=["evidence", "toxic"])
 
     bins = sample.mapInArrow(gather, "evidence long, toxic long").groupBy("evidence").agg(
@@ -205,9 +216,10 @@ def _logistic(x: np.ndarray, n: np.ndarray, k: np.ndarray, ridge: float = 1e-2)
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, passages) of every row; a passage has its character span, sum and ln E."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = TokenScores(model.scores)
         span = pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("sum", pa.float64()), ("log_e", pa.float64())])
         for batch in batches:
-            found = [passages_of(t, model) for t in batch.column(1).to_pylist()]
+            found = [passages_of(t, model, known) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.probability(e) for e, _ in found], pa.float64()),
                                               pa.array([p for _, p in found], pa.list_(span))], names=["doc_id", "score", "passages"])
     return texts(df, id_col, text_col).mapInArrow(
@@ -232,6 +244,7 @@ def without_toxic(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id
     at = documents.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = TokenScores(model.scores)
         for batch in batches:
-            yield batch.filter(pa.array([model.probability(passages_of(t or "", model)[0]) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([model.probability(passages_of(t or "", model, known)[0]) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
     return documents.mapInArrow(run, documents.schema)
