@@ -53,3 +53,24 @@ def test_stages(spark, small):
     for r in stages["bpe"](spark, docs, small).collect():
         ids = tokenizer.encode(wanted[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_repeated_rows_and_rows_without_id(spark, small, odd_docs):
+    draw = np.random.default_rng(8)
+
+    def prose(n):
+        return " ".join(f"w{i}" for i in draw.integers(0, 10**6, n))
+    item = max((r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()), key=lambda t: len(t or ""))
+    twice, lost, under_two, other, leaked = (prose(120) for _ in range(5))
+    more = [(20, twice, 1), (20, twice, 1), (None, lost, 1), (None, lost, 1), (21, under_two, 1), (21, other, 1), (22, under_two, 1),
+            (None, f"{leaked} {item}", 1)]
+    rows = odd_docs.union(spark.createDataFrame(more, odd_docs.schema))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        rows = corpus_pipeline.stored(stage(spark, rows, small), name)
+        assert rows.columns == odd_docs.columns
+    got = sorted(((r.doc_id, r.text) for r in rows.collect()), key=str)
+    kept = [(r.doc_id, r.text) for r in odd_docs.where("doc_id is null or doc_id not in (6, 7)").collect()] + [(6, "a b c d e f")]
+    assert [g for g in got if g[0] != 7] == sorted(
+        [k for k in kept if k[0] != 5] + [(20, twice), (None, lost), (21, under_two), (21, other)], key=str)
+    last = corpus_pipeline.encode(spark, rows, small)
+    assert last.count() == rows.count()
