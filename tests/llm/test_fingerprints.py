@@ -54,3 +54,25 @@ def test_weights_count(spark):
     rows = [(1, "x " * 30 + "y " * 10 + " ".join(f"a{i}" for i in range(500))), (2, "x " * 10 + "y " * 30 + " ".join(f"a{i}" for i in range(250, 750)))]
     got = {r.doc_id: r for r in P.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert abs(got[1].near_next - jaccard(rows[0][1], rows[1][1])) < 0.25
+
+
+def test_skewed_weights(spark):
+    """A heavy term has its whole weight: estimates over many differently named texts against the exact value."""
+    def words(tag, n):
+        return " ".join(f"{tag}_{i}" for i in range(n))
+
+    def case(kind, k):
+        if kind == 0:  # one word 1000 times against once, with 63 shared words
+            shared = words(f"s{k}", 63)
+            return f"h{k} " * 1000 + shared, f"h{k} " + shared
+        if kind == 1:  # one word 5000 times in both, with 300 unlike words each
+            return f"h{k} " * 5000 + words(f"a{k}", 300), f"h{k} " * 5000 + words(f"b{k}", 300)
+        line, shared = words(f"l{k}", 10) + " ", words(f"s{k}", 200)  # a line 500 against 100 times, with 200 shared words
+        return line * 500 + shared, line * 100 + shared
+    pairs = [(kind, case(kind, k)) for kind in range(3) for k in range(20)]
+    rows = [(i, x, y) for i, (_, (x, y)) in enumerate(pairs)]
+    made = P.sampled(spark.createDataFrame(rows, "block long, x string, y string").repartition("block"), ["block"], ["x", "y"])
+    got = {r.block: r.near for r in made.select("block", P.likeness(made["fp_x"], made["fp_y"]).alias("near")).collect()}
+    for kind in range(3):
+        error = np.array([got[i] - jaccard(*p) for i, (k, p) in enumerate(pairs) if k == kind])
+        assert abs(error.mean()) < 0.04 and np.abs(error).max() < 0.3, kind

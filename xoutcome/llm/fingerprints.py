@@ -6,9 +6,10 @@ r and c from Gamma(2, 1) and b from U(0, 1), all drawn by hashing the term:
     t = floor(ln w / r + b),   ln a = ln c - r * (t - b + 1)
 
 The sample is the term of least ``a`` together with its ``t``; two texts have the same sample with a chance of their
-generalised Jaccard similarity sum(min) / sum(max). Terms are dealt to ``BINS`` bins by hash and each bin takes a
-sample of its own, so that a term needs one draw and not one per sample. The share of equal samples among bins that
-either text fills estimates the similarity. A bin's sample enters the fingerprint as 16 bits (0: empty bin).
+generalised Jaccard similarity sum(min) / sum(max). A fingerprint has ``SAMPLES`` samples of the whole text, each with
+r, c and b of its own for every term, so that a term is picked in proportion to its weight in each of them. The share
+of equal samples estimates the similarity with a standard error of sqrt(J * (1 - J) / SAMPLES), 0.0625 at most. As
+``a`` follows from term and ``t``, it names the sample, which enters the fingerprint as 16 bits (0: no term at all).
 
 All expressions are Spark's own. One range-like shuffle brings neighbouring documents together; edited texts, terms
 and samples all work in its partitions. Null texts are empty; empty texts have a fingerprint of zeros, and two of
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,33 +29,42 @@ from xoutcome.llm.common import shuffle_partitions, texts
 from xoutcome.llm.native import words
 from xoutcome.session import stored
 
-BINS = 64
+SAMPLES = 64
 BITS = 16
 _PER_LONG = 64 // BITS
-_LONGS = BINS // _PER_LONG
+_LONGS = SAMPLES // _PER_LONG
 PARTS = 4  # blocks per shuffle partition
 
 
-def _uniform(seed: int) -> Column:
-    """A number in (0, 1) by hashing the term."""
-    return (F.shiftrightunsigned(F.xxhash64("term", F.lit(seed)), 11).cast("double") + 0.5) * F.lit(2.0 ** -53)
+def _uniforms(at: Column, seed: int) -> tuple[Column, Column]:
+    """Two numbers in (0, 1) by hashing the term."""
+    bits = F.xxhash64("term", at, F.lit(seed))
+    return tuple((half.cast("double") + 0.5) * F.lit(2.0 ** -32) for half in (
+        F.shiftrightunsigned(bits, 32), bits.bitwiseAND(F.lit(0xFFFFFFFF))))
 
 
-def log_a(weight: Column) -> Column:
-    r, c = -F.log(_uniform(1) * _uniform(2)), -F.log(_uniform(3) * _uniform(4))
-    return F.log(c) - r * (F.floor(F.log(weight.cast("double")) / r + _uniform(5)) - _uniform(5) + 1)
+def log_a(log_weight: Column, at: Column, sample: int) -> Column:
+    (u1, u2), (u3, u4), (b, _) = (_uniforms(at, 3 * sample + i) for i in range(3))
+    r, c = -F.log(u1 * u2), -F.log(u3 * u4)
+    return F.log(c) - r * (F.floor(log_weight / r + b) - b + 1)
 
 
 def sampled(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """The fingerprints of the text columns ``names``, in fixed-width aggregates over the rows' own partitioning."""
+    """The fingerprints of the text columns ``names``, in fixed-width aggregates over the rows' own partitioning.
+
+    A term is handled once for each long of the fingerprint: one aggregate for all samples would be a method too large
+    for the compiler.
+    """
     picked = rows.select(*keys, F.posexplode(F.array(*names)).alias("which", "text")).select(
         *keys, "which", F.explode_outer(words(F.col("text"))).alias("word")).where("word is not null")
     terms = picked.groupBy(*keys, "which", F.xxhash64("word").alias("term")).agg(F.count(F.lit(1)).alias("w"))
-    least = terms.groupBy(*keys, "which", F.pmod(F.xxhash64("term", F.lit(0)), F.lit(BINS)).cast("int").alias("bin")).agg(
-        F.min(log_a(F.col("w"))).alias("a"))
-    code = F.lit(1) + F.pmod(F.xxhash64("a"), F.lit((1 << BITS) - 1))
-    placed = least.select(*keys, "which", F.floor(F.col("bin") / _PER_LONG).cast("int").alias("at"), F.call_function(
-        "shiftleft", code, ((_PER_LONG - 1 - F.col("bin") % _PER_LONG) * BITS).cast("int")).alias("code"))
+    dealt = terms.select(*keys, "which", "term", F.log(F.col("w").cast("double")).alias("log_w"),
+                         F.explode(F.array(*map(F.lit, range(_LONGS)))).alias("at"))
+    least = dealt.groupBy(*keys, "which", "at").agg(
+        *[F.min(log_a(F.col("log_w"), F.col("at"), i)).alias(f"a{i}") for i in range(_PER_LONG)])
+    codes = [F.lit(1) + F.pmod(F.xxhash64(f"a{i}"), F.lit((1 << BITS) - 1)) for i in range(_PER_LONG)]
+    placed = least.select(*keys, "which", "at", reduce(
+        Column.bitwiseOR, [F.shiftleft(c, (_PER_LONG - 1 - i) * BITS) for i, c in enumerate(codes)]).alias("code"))
     longs = placed.groupBy(*keys).agg(*[
         F.bit_or(F.when((F.col("which") == k) & (F.col("at") == i), F.col("code"))).alias(f"l{k}_{i}")
         for k in range(len(names)) for i in range(_LONGS)])
@@ -63,15 +74,15 @@ def sampled(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
 
 
 def likeness(x: Column, y: Column) -> Column:
-    """The share of equal samples among the bins that either of two fingerprints fills; 1 for two empty ones."""
+    """The share of equal samples of two fingerprints; 1 for two empty ones."""
     digits = BITS // 4
     empty = "0" * digits
 
-    def bins(test: Callable[[Column, Column], Column]) -> Column:
-        return F.size(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: test(
+    def samples(test: Callable[[Column, Column], Column]) -> Column:
+        return F.size(F.filter(F.sequence(F.lit(0), F.lit(SAMPLES - 1)), lambda i: test(
             F.substring(x, i * digits + 1, F.lit(digits)), F.substring(y, i * digits + 1, F.lit(digits)))))
-    filled = bins(lambda a, b: (a != empty) | (b != empty))
-    equal = bins(lambda a, b: (a == b) & (a != empty))
+    filled = samples(lambda a, b: (a != empty) | (b != empty))
+    equal = samples(lambda a, b: (a == b) & (a != empty))
     return F.when(filled == 0, 1.0).otherwise(equal / F.greatest(filled, F.lit(1)))
 
 
@@ -120,7 +131,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("row", F.row_number().over(Window.partitionBy("block").orderBy(*order)))
     keys = ["block", "row"]
     told = rows.select(*keys, "doc_id", "tie", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    none = F.lit("0" * (BINS * BITS // 4))
+    none = F.lit("0" * (SAMPLES * BITS // 4))
     made = stored(told.join(sampled(rows.select(*keys, "text", "edited"), keys, ["text", "edited"]), keys, "left").select(
         *keys, "doc_id", "tie", "n_chars", "edited_sha256", F.coalesce("fp_text", none).alias("fingerprint"),
         F.coalesce("fp_edited", none).alias("edited_fingerprint")), "fingerprints")
