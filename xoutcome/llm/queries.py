@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, decontaminate, fingerprints, katz, minhash, sitetree, spelling, suffixdedup, toxicity, warc
+from xoutcome.llm import binary, bpe, decontaminate, fingerprints, katz, minhash, ranked, sitetree, spelling, suffixdedup, toxicity, warc
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": lambda spark, folder: toxicity.toxicity(
         table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages"),
     "op12_spelling_lists": lambda spark, folder: spelling.spelling_variants(table(spark, folder, "documents")),
+    "op13_limited_accumulators": lambda spark, folder: ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
 }
 _CLASSES = f"""WITH RECURSIVE s AS ({decontaminate._SETS.format(id='doc_id', table='documents')}),
 sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -33,4 +34,4 @@ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l
 least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(coalesce(b, doc_id), doc_id) AS component_id, coalesce(b >= doc_id, TRUE) AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = doc_id"""
-ORACLE_SQL: dict[str, str] = {"op3_minhash": _CLASSES, "op5_containment": decontaminate.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op3_minhash": _CLASSES, "op5_containment": decontaminate.ORACLE, "op13_limited_accumulators": ranked.ORACLE}
