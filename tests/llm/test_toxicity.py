@@ -54,3 +54,21 @@ def test_passages_and_odd_rows(spark, odd_docs):
     assert T.score(odd_docs.limit(0), model).count() == 0
     none = T.fit(df, labels.limit(0))
     assert {round(r.score, 6) for r in T.score(odd_docs, none).collect()} == {0.5}
+
+
+def test_many_weak_hits_in_a_falling_text():
+    """Each hit starts below all before it, and nothing merges: 20,000 of them take no quadratic time."""
+    import time
+    start = time.perf_counter()
+    found = T.maximal_segments([(10 * i, 1.0) for i in range(20_000)], 1.0)
+    assert len(found) == 20_000 and time.perf_counter() - start < 1.0
+
+
+def test_one_word_does_not_speak_for_its_first_letters(spark):
+    calm = ["pathway", "pattern", "patience", "patrol"]
+    docs = [(i, f"{calm[i % 4]} {calm[i % 3]} words " * 8 + ("pathetic " if i % 3 == 0 else "")) for i in range(240)]
+    docs += [(1000 + i, f"words pathos{chr(97 + i)} words") for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "doc_id as score", "text as passages")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, toxic int")
+    model = T.fit(df.select("doc_id", "text"), labels)
+    assert all((r.score >= 0.5) == (r.doc_id < 240 and r.doc_id % 3 == 0) for r in T.score(df, model).collect())

@@ -3,9 +3,11 @@
 Learning, from a bounded sample of labelled texts (``TRAIN_ROWS`` of least hash):
 
 1. Per feature (a word, or its first 3 to 6 letters) its numbers of occurrences and of texts, in toxic and in clean
-   texts. A feature is kept if the log-odds of its texts under a symmetric Dirichlet prior have a z-value of
-   ``Z_LEAST`` or more, at most ``FEATURES`` of them; a word met in ``OWN_TEXTS`` texts goes by its own counts, though
-   its first letters may be kept.
+   texts. A feature is kept if toxic texts hold it more often than clean ones by a signed root of the likelihood ratio
+   of ``ROOT_LEAST`` or more, and if the log-odds of its texts under a symmetric Dirichlet prior are ``ODDS_LEAST`` or
+   more even at the lower end of their 95 % interval. The first is not fooled by many features, the second not by many
+   texts. What a first-letters feature has beyond the longer kept features below it must have those odds too, so that
+   one toxic word does not speak for all that begin alike. A word met in ``OWN_TEXTS`` texts goes by its own counts.
 2. A token scores the log-odds of its most specific feature by occurrences. Any other token costs ``drift``, the
    log-odds of a token without a feature (``DRIFT`` at least), so that a clean text drifts down. The scale of the
    extreme-value law is the positive root of sum(p * exp(scale * score)) = 1 over clean texts.
@@ -15,8 +17,10 @@ Scoring, over all texts: one linear scan finds all maximal segments; a segment w
 an expected number of chance segments of E = n * exp(-scale * S). Those with E <= ``E_MOST`` are passages, and the
 text's evidence is the sum of -ln E over them.
 
-Null and empty texts have no evidence. Repeated rows are scored alike. Without labels of both kinds there are no
-features and the score is the share of toxic labels (0.5 of no label counts on either side).
+Null and empty texts have no evidence. A text of any length is read whole, in linear time. Repeated rows are scored
+alike. Rows without an id are scored, but are in no fold and teach nothing. Without labels of both kinds there are no
+features and the score is the share of toxic labels (0.5 of no label counts on either side). An empty table gives no
+rows. Other columns are left behind, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,9 +40,9 @@ from xoutcome.llm.common import texts
 from xoutcome.session import stored
 
 TRAIN_ROWS = 50_000
-FEATURES = 20_000
 PRIOR = 0.5
-Z_LEAST = 3.3
+ROOT_LEAST = 5.0
+ODDS_LEAST = 1.5
 OWN_TEXTS = 5
 DRIFT = 0.02
 E_MOST = 0.5
@@ -67,24 +71,32 @@ def features_of(token: str) -> list[str]:
 
 def maximal_segments(items: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first token, last token, sum) of tokens with scores above zero (place, score);
-    every token between costs ``drift``. Linear in the number of items."""
-    stack: list[list] = []  # first, last, left sum, right sum
+    every token between costs ``drift``.
+
+    Each segment knows the nearest earlier one that begins at a lower sum, so that the search for it follows links and
+    visits a segment at most once before it is merged or passed over for good: linear in the number of items.
+    """
+    first, last, left, right, lower = [], [], [], [], []  # of open segments; lower: place of the nearest with a lower left sum
     total, at = 0.0, -1
     for place, score in items:
         total -= drift * (place - at - 1)
         at = place
-        new = [place, place, total, total + score]
-        total += score
+        begin, l, r = place, total, total + score
+        total = r
         while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= new[3]:
-                stack.append(new)
+            j = len(left) - 1
+            while j >= 0 and left[j] >= l:
+                j = lower[j]
+            if j < 0 or right[j] >= r:
                 break
-            new = [stack[j][0], new[1], stack[j][2], new[3]]
-            del stack[j:]
-    return [(a, b, right - left) for a, b, left, right in stack]
+            begin, l = first[j], left[j]
+            del first[j:], last[j:], left[j:], right[j:], lower[j:]
+        first.append(begin)
+        last.append(place)
+        left.append(l)
+        right.append(r)
+        lower.append(j)
+    return [(a, b, r - l) for a, b, l, r in zip(first, last, left, right)]
 
 
 class TokenScores(dict):
@@ -144,6 +156,53 @@ def _solved(chances: list[tuple[float, float]]) -> float:
     return max(low, 1e-3)
 
 
+def _odds(d0: float, d1: float, n0: int, n1: int) -> tuple[float, float]:
+    """Log-odds, and their standard error, of a feature in ``d0`` of ``n0`` clean and ``d1`` of ``n1`` toxic texts."""
+    cells = [d1 + PRIOR, max(n1 - d1, 0) + PRIOR, d0 + PRIOR, max(n0 - d0, 0) + PRIOR]
+    return math.log(cells[0] / cells[1]) - math.log(cells[2] / cells[3]), math.sqrt(sum(1 / c for c in cells))
+
+
+def _leans(d0: float, d1: float, n0: int, n1: int) -> bool:
+    odds, error = _odds(d0, d1, n0, n1)
+    return odds - 1.96 * error >= ODDS_LEAST
+
+
+def _chosen(counted: DataFrame, all_) -> tuple[dict[str, tuple[int, int]], dict[str, tuple[int, int]]]:
+    """Occurrences in clean and toxic texts: of the kept features without the longer kept ones, and in full of the kept
+    features and of the words that begin like one but have counts of their own.
+
+    Only features with the ratio alone come to the driver, far fewer than the sample's distinct words.
+    """
+    share = all_["d1"] / (all_["d0"] + all_["d1"])
+    n = F.col("d0") + F.col("d1")
+    part = lambda x, p: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / (n * p))).otherwise(0.0)
+    ratio = 2 * (part("d1", share) + part("d0", 1 - share))
+    rows = counted.where((F.col("d1") > n * share) & (ratio >= ROOT_LEAST ** 2)).collect()
+    left = {r["feature"]: np.array([r["d0"], r["d1"], r["c0"], r["c1"]], float) for r in rows}
+    whole = dict(left)
+    kept: dict[str, tuple[int, int]] = {}
+
+    def above(feature: str) -> list[str]:
+        word = feature.rstrip("*")
+        return [word[:k] + "*" for k in PREFIXES if len(word) > k]
+    size = lambda f: (len(f), f) if f.endswith("*") else (math.inf, f)
+    for length in sorted({size(f)[0] for f in left}, reverse=True):  # whole words first, then from long starts to short ones
+        for f in sorted(f for f in left if size(f)[0] == length):
+            d0, d1, c0, c1 = np.maximum(left[f], 0)
+            if _leans(*whole[f][:2], all_["d0"], all_["d1"]) and _odds(d0, d1, all_["d0"], all_["d1"])[0] >= ODDS_LEAST:
+                kept[f] = (int(c0), int(c1))
+                for up in above(f):
+                    if up in left:
+                        left[up] = left[up] - left[f]
+    starts = {f[:-1] for f in kept if f.endswith("*")}
+    longer = F.lit(False)
+    for k in PREFIXES:
+        longer |= F.substring("feature", 1, k).isin(sorted(p for p in starts if len(p) == k))
+    words = counted.where(~F.col("feature").endswith("*") & longer).collect() if starts else []
+    further = {r["feature"]: (r["c0"], r["c1"]) for r in words if r["feature"] not in kept}
+    return kept, {**{f: (int(whole[f][2]), int(whole[f][3])) for f in kept}, **further}
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Learn from ``labels`` (doc_id, toxic) over ``docs`` (doc_id, text)."""
     sample = _training(docs, labels, rows)
@@ -172,21 +231,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     if all_ is None or not all_["d0"] or not all_["d1"]:
         n0, n1 = (all_["d0"], all_["d1"]) if all_ else (0, 0)
         return Model(base=math.log((n1 + PRIOR) / (n0 + PRIOR)))
-    odds = F.log((F.col("d1") + PRIOR) / (all_["d1"] - F.col("d1") + PRIOR)) - F.log((F.col("d0") + PRIOR) / (all_["d0"] - F.col("d0") + PRIOR))
-    z = odds / F.sqrt(1 / (F.col("d0") + PRIOR) + 1 / (F.col("d1") + PRIOR))
-    kept = {r["feature"]: r for r in counted.where(F.col("feature") != ALL).where(z >= Z_LEAST).orderBy(z.desc(), "feature").limit(FEATURES).collect()}
-    starts = [f[:-1] for f in kept if f.endswith("*")]
-    longer = F.lit(False)
-    for k in PREFIXES:
-        longer |= F.substring("feature", 1, k).isin([p for p in starts if len(p) == k])
-    words = counted.where(~F.col("feature").endswith("*") & (F.col("feature") != ALL) & longer)
-    kept |= {r["feature"]: r for r in words.orderBy((F.col("d0") + F.col("d1")).desc(), "feature").limit(FEATURES).collect()}
-    scores = {f: math.log((r["c1"] + PRIOR) / (all_["c1"] + PRIOR)) - math.log((r["c0"] + PRIOR) / (all_["c0"] + PRIOR)) for f, r in kept.items()}
-    # Tokens by their most specific feature: what a prefix has beyond its kept words is left to the prefix.
-    share = [[max(0, r[c]) / max(1, all_[c]) for f, r in kept.items() if not f.endswith("*") and scores[f] > 0] for c in ("c0", "c1")]
+    own, full = _chosen(counted.where(F.col("feature") != ALL), all_)
+    scores = {f: math.log((c1 + PRIOR) / (all_["c1"] + PRIOR)) - math.log((c0 + PRIOR) / (all_["c0"] + PRIOR)) for f, (c0, c1) in full.items()}
+    # A kept feature's counts are those of its own tokens: longer kept features are taken out of it.
+    share = [[x[k] / max(1, all_[c]) for x in own.values()] for k, c in enumerate(("c0", "c1"))]
     drift = max(DRIFT, math.log(max(1e-6, 1 - min(0.5, sum(share[0])))) - math.log(max(1e-6, 1 - min(0.5, sum(share[1])))))
-    chances = [((r["c0"] + PRIOR) / max(1, all_["c0"]), scores[f]) for f, r in kept.items() if scores[f] > 0 and not (
-        f.endswith("*") and any(f[:-1].startswith(o[:-1]) for o in kept if o != f and o.endswith("*")))]
+    chances = [((c0 + PRIOR) / max(1, all_["c0"]), scores[f]) for f, (c0, _) in own.items() if scores[f] > 0]
     model = Model(scores, drift, _solved([*chances, (max(0.0, 1 - sum(p for p, _ in chances)), -drift)]))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
