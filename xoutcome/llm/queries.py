@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from xoutcome.llm import binary, bpe, decontaminate, fingerprints, katz, minhash, ranked, sitetree, spelling, suffixdedup, toxicity, warc
+from xoutcome.llm import binary, bpe, decontaminate, fingerprints, katz, minhash, pii, ranked, sitetree, spelling, suffixdedup, toxicity, warc
 from xoutcome.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_derivatives": lambda spark, folder: warc.digests(table(spark, folder, "pages")),
     "op10_toxicity": lambda spark, folder: toxicity.toxicity(
         table(spark, folder, "documents"), table(spark, folder, "labels")).drop("passages"),
+    "op11_lstm_crf": lambda spark, folder: pii.digests(table(spark, folder, "documents")),
     "op12_spelling_lists": lambda spark, folder: spelling.spelling_variants(table(spark, folder, "documents")),
     "op13_limited_accumulators": lambda spark, folder: ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
 }
