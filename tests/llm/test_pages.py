@@ -79,3 +79,59 @@ def test_odd_pages(spark):
     rows = warc.derivatives(warc.responses(df)).collect()
     assert len(rows) == 4 and sum(r.n_links for r in rows) == 1
     assert warc.derivatives(warc.responses(df.limit(0))).count() == 0
+
+
+def _record(http: bytes, kind: str = "response", more: tuple = ()) -> bytes:
+    return warc.record(kind, [("WARC-Record-ID", "<urn:uuid:1>"), *more, ("WARC-Target-URI", "http://a.example/"), ("WARC-Date", warc.DATE)], http)
+
+
+def test_sources_as_they_come(spark):
+    """Repeated headers, charsets, codings, other records, no records."""
+    import gzip
+    import zlib
+    head = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\nContent-Type: text/html"
+    coffee = "<title>caf\u00e9</title><p>caf\u00e9"
+    chunked = b"".join(b"%x\r\n%s\r\n" % (len(c), c) for c in (coffee.encode()[:9], coffee.encode()[9:], b""))
+    given = {
+        "latin": head + b"; charset=ISO-8859-1\r\n\r\n" + coffee.encode("latin-1"),
+        "declared": head + b"\r\n\r\n<meta charset='iso-8859-1'>" + coffee.encode("latin-1"),
+        "gzip": head + b"\r\nContent-Encoding: gzip\r\n\r\n" + gzip.compress(coffee.encode()),
+        "deflate": head + b"\r\ncontent-encoding: deflate\r\n\r\n" + zlib.compress(coffee.encode()),
+        "chunked": head + b"\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked,
+        "unknown": head + b"; charset=no-such\r\n\r\n" + coffee.encode(),
+    }
+    rows = [(k, _record(v, more=(("WARC-Concurrent-To", "<urn:uuid:2>"), ("WARC-Concurrent-To", "<urn:uuid:3>")))) for k, v in given.items()]
+    rows += [("null", None), ("request", _record(b"GET / HTTP/1.1", "request")), ("none", b"no record"), ("brotli", _record(head + b"\r\nContent-Encoding: br\r\n\r\nxyz"))]
+    df = spark.createDataFrame(rows, "page_id string, response binary").selectExpr("*", "1 as title", "2 as metadata")
+    got = {r.page_id: r for r in warc.derivatives(df).collect()}
+    for k in given:
+        assert got[k].title == "caf\u00e9" and warc.parse(bytes(got[k].conversion))[2].decode() == "caf\u00e9", k
+        envelope = json.loads(warc.parse(bytes(got[k].metadata))[2])["Envelope"]
+        assert envelope["WARC-Header-Metadata"]["warc-concurrent-to"] == ["<urn:uuid:2>", "<urn:uuid:3>"]
+        assert envelope["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"]["Set-Cookie"] == ["a=1", "b=2"]
+    for k in ("null", "request", "none"):
+        assert all(v is None for name, v in got[k].asDict().items() if name != "page_id")
+    assert got["brotli"].n_links == 0 and warc.parse(bytes(got["brotli"].conversion))[2] == b""
+
+
+def test_pages_in_one_pass():
+    text = ("<!DOCTYPE html><head><title>A &amp;\n B</title><style>p{}</style><script>if (a<b) '<p>x</p>'</script></head><body class=x><p>one <b>two</b><br>three"
+            "<!-- <p>no</p> --><a href='/x?a=1&amp;b=2'>l</a><img src=i.png alt='a > b'><noscript><p>no</p></noscript><p>a < b &lt;<template>no</template><hr>last")
+    title, links, blocks = warc.page(text, "http://h.example/d/")
+    assert title == "A & B" and [x["url"] for x in links] == ["http://h.example/x?a=1&b=2", "http://h.example/d/i.png"]
+    assert blocks == ["one two threel", "a < b <", "last"]
+    import time
+    start = time.perf_counter()
+    for bad in ("<a " * 100_000, "<a '" * 50_001, "<p>" * 100_000, "<script>" * 100_000, "<!--" * 100_000, "<" * 300_000, '<a b="' + "<" * 100_000):
+        warc.page(bad, "")
+    assert time.perf_counter() - start < 20
+
+
+def test_whole_text_of_all_pages(spark, middle):
+    """The conversion record against the page without markup by other patterns."""
+    rows = {r.page_id: r.html or "" for r in spark.read.parquet(f"{middle}/pages.parquet").collect()}
+    for r in warc.derivatives(warc.responses(spark.read.parquet(f"{middle}/pages.parquet"))).collect():
+        body = re.sub(r"(?s)<!--.*?-->|<(script|style|title)\b.*?</\1>|<head\b.*?</head>", " ", rows[r.page_id])
+        bare = html.unescape(re.sub(r"</?b>", "", body))
+        wanted = " ".join(html.unescape(re.sub(r"<[^<>]*>", " ", re.sub(r"</?b>", "", body))).split())
+        assert " ".join(warc.parse(bytes(r.conversion))[2].decode().split()) == wanted, bare[:200]
