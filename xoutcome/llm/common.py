@@ -11,14 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 16 << 20  # text bytes that one task handles at a time
+BATCH_BYTES = 16 << 20  # bytes of an Arrow batch
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES``, unless the session has another bound than Spark's usual 64 MB."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == f"{64 << 20}b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids and whole texts under fixed names; a null text counts as empty, all other columns are left behind."""
+    bounded_batches(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 

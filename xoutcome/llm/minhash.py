@@ -8,14 +8,17 @@ The path of a document:
    whose signatures agree in ``AGREE`` places at least are confirmed on the full sets, and the confirmed links give
    components. Then the same over all bands, with one member for each component in a bucket: a large group, which
    would have other stars in every band, is one component by then.
+   Further rounds do so with other members, drawn by hash, until a round brings no link (``ROUNDS`` at most).
 4. A bucket that still spans several components has members that were not compared. Only there, members of
-   different components are compared by signature, in tiles of ``TILE`` x ``TILE`` inside tasks; what may reach the
-   threshold is confirmed on the full sets as before.
+   different components are compared by signature, in tiles of ``TILE`` x ``TILE`` inside tasks, which tell the members
+   that have an agreeing one in another component, never the pairs. Tiles of these alone, with their full sets, confirm
+   pairs and join components as they go, so that a tile returns fewer links than it has members.
 
 With 4 rows and 32 bands a pair at the threshold shares no bucket with a chance of 5e-6, and less above it; two
 signatures of such a pair agree in fewer than ``AGREE`` places with a chance of about 2e-6.
 
-Texts that are null, empty or without words have no set and stay alone. Repeated ids are one document. Any other
+Texts that are null, empty or without words have no set and stay alone. Repeated ids are one document. Rows without an
+id have no id that a class could be named after: their ``kept`` is null, and they hide or link no others. Any other
 columns are ignored. An empty table gives no rows.
 """
 
@@ -39,6 +42,7 @@ ROWS, BANDS = 4, 32
 FIRST = 4
 AGREE = 72
 TILE = 512
+ROUNDS = 6
 BROADCAST_IDS = 1_000_000
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())])
 
@@ -80,14 +84,21 @@ def band_rows(signed: DataFrame) -> DataFrame:
     return signed.select("doc_id", F.posexplode(keys).alias("number", "band"))
 
 
-def star_pairs(bands: DataFrame, component: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of a bucket's least member and the least member of each of its other components."""
+def star_pairs(bands: DataFrame, component: DataFrame | None = None, round_: int = 0) -> DataFrame:
+    """Pairs (a, b) of a bucket's first member and the first member of each of its other components.
+
+    First is the least id, in rounds above 0 the least hash of id and round.
+    """
+    first = F.min(F.struct(F.xxhash64("doc_id", F.lit(round_)) if round_ else F.lit(0).cast("long"), F.col("doc_id").alias("doc_id")))
     if component is None:
-        least = bands.select("band", F.col("doc_id").alias("b"))
+        least = bands.select("band", F.lit(0).cast("long").alias("by"), F.col("doc_id").alias("b"))
     else:
-        least = _named(bands, component).groupBy("band", "component").agg(F.min("doc_id").alias("b"))
-    heads = least.groupBy("band").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "a")
-    return least.join(heads, "band").where("a <> b").select("a", "b").distinct()
+        least = _named(bands, component).groupBy("band", "component").agg(first.alias("first")).select(
+            "band", F.col("first.col1").alias("by"), F.col("first.doc_id").alias("b"))
+    heads = least.groupBy("band").agg(F.min(F.struct("by", "b")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "band", F.col("h.b").alias("a"))
+    pairs = least.join(heads, "band").where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _named(bands: DataFrame, component: DataFrame) -> DataFrame:
@@ -133,31 +144,74 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similarity: tuple[int, int] = (
         F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _open_pairs(bands: DataFrame, component: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs of one bucket but different components whose signatures agree, from buckets of three members or more."""
-    named = _named(bands, component)
-    spans = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count(F.lit(1)).alias("n")).where("lo < hi and n > 2").select("band", "n")
-    members = named.join(spans, "band").withColumn("parts", F.ceil(F.col("n") / TILE).cast("int")).withColumn(
+def _tiles(members: DataFrame) -> DataFrame:
+    """Members (band, doc_id, component) by tile: tile (i, j), i <= j, compares part i of a bucket with part j."""
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    cut = members.join(sizes, "band").withColumn("parts", F.ceil(F.col("n") / TILE).cast("int")).withColumn(
         "tile", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    # Tile (i, j), i <= j, compares part i with part j; every member goes to the tiles that hold its part.
-    placed = members.select("band", "doc_id", "component", "tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+    return cut.select("band", "doc_id", "component", "tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "band", "doc_id", "component", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
 
+
+def _spanning(bands: DataFrame, component: DataFrame) -> DataFrame:
+    """(band, doc_id, component) of the buckets of three members or more that span components."""
+    named = _named(bands, component)
+    spans = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.count(F.lit(1)).alias("n")).where("lo < hi and n > 2").select("band")
+    return named.join(spans, "band")
+
+
+def _others(group: pd.DataFrame, sig: np.ndarray, k: int, component: np.ndarray) -> np.ndarray:
+    """Places of the members after ``k`` that are of another part, if the tile has two, and another component, and agree."""
+    other = component[k + 1:] != component[k]
+    if group["i"].iat[0] != group["j"].iat[0]:
+        tile = group["tile"].to_numpy()
+        other &= tile[k + 1:] != tile[k]
+    at = k + 1 + np.flatnonzero(other)
+    return at[(sig[at] == sig[k]).sum(axis=1) >= AGREE]
+
+
+def _met(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """(band, doc_id) of the members with an agreeing one of another component in their bucket."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(group["sig"]), "<u4").reshape(-1, ROWS * BANDS)
-        ids, comp, tile = (group[c].to_numpy() for c in ("doc_id", "component", "tile"))
-        out = []
-        for k in range(len(ids)):
-            other = (comp != comp[k]) & (ids > ids[k])
-            if group["i"].iat[0] != group["j"].iat[0]:
-                other &= tile != tile[k]
-            at = np.flatnonzero(other)
-            at = at[(sig[at] == sig[k]).sum(axis=1) >= AGREE]
-            out.append(np.column_stack([np.full(len(at), ids[k]), ids[at]]))
-        found = np.concatenate(out) if out else np.empty((0, 2), np.int64)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-    return placed.join(signed.select("doc_id", "sig"), "doc_id").groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
+        component, met = group["component"].to_numpy(), np.zeros(len(group), bool)
+        for k in range(len(group)):
+            at = _others(group, sig, k, component)
+            met[at] = True
+            met[k] |= len(at) > 0
+        return group.loc[met, ["band", "doc_id"]]
+    return _tiles(members).join(signed.select("doc_id", "sig"), "doc_id").groupBy("band", "i", "j").applyInPandas(run, "band long, doc_id long").distinct()
+
+
+def _joined(members: DataFrame, signed: DataFrame, docs: DataFrame, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
+    """Confirmed links (u, v) that join all components of a tile that have one between them, fewer than its members."""
+    part, whole = similarity
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingler.distinct(t).tobytes() for t in column_bytes(batch.column(1))], pa.binary())],
+                                             names=["doc_id", "set"])
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(group["sig"]), "<u4").reshape(-1, ROWS * BANDS)
+        own = [np.frombuffer(x, np.uint64) for x in group["set"]]
+        component, ids, out = group["component"].to_numpy().copy(), group["doc_id"].to_numpy(), []
+        for k in range(len(group)):
+            for at in _others(group, sig, k, component).tolist():
+                if component[at] == component[k]:
+                    continue
+                x, y = own[k], own[at]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if whole * common >= part * (len(x) + len(y) - common):
+                    out.append((int(ids[k]), int(ids[at])))
+                    component[component == component[at]] = component[k]
+        return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
+    ids = stored(members.select("doc_id").distinct(), "ids")
+    own = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sets, "doc_id long, set binary")
+    rows = _tiles(members).join(signed.select("doc_id", "sig"), "doc_id").join(own, "doc_id")
+    return rows.groupBy("band", "i", "j").applyInPandas(run, "u long, v long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,9 +229,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def links_of(pairs: DataFrame) -> DataFrame:
         return stored(confirmed(stored(pairs, "pairs"), docs), "links")
     links = links_of(agreeing(star_pairs(bands.where(F.col("number") < FIRST)), signed))
-    links = links.union(links_of(agreeing(star_pairs(bands, connected_components(links)), signed)))
-    links = links.union(links_of(_open_pairs(bands, connected_components(links), signed)))
-    component = connected_components(links)
+    component = stored(connected_components(links), "components")
+    for round_ in range(ROUNDS):
+        new = links_of(agreeing(star_pairs(bands, component, round_), signed))
+        if new.isEmpty():
+            break
+        links = links.union(new)
+        component = stored(connected_components(links), "components")
+    open_ = stored(_spanning(bands, component), "open")
+    met = stored(_met(open_, signed), "met")
+    if not met.isEmpty():
+        links = links.union(stored(_joined(open_.join(met, ["band", "doc_id"], "left_semi"), signed, docs), "links"))
+        component = connected_components(links)
 
     named = all_signed.select("doc_id", "n_shingles", "set_key").join(equal, "set_key", "left").withColumn(
         "rep", F.coalesce("rep", "doc_id"))
