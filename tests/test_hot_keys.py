@@ -85,7 +85,7 @@ def test_kmeans_of_an_oversized_group(spark):
     data = [(g, rng.choice("ab"), c + rng.gauss(0, 0.05), -c + rng.gauss(0, 0.05))
             for g, n in ((1, 400), (2, 60)) for c in (0.0, 4.0, 9.0) for _ in range(n)]
     df = spark.createDataFrame(data, "g int, kind string, x double, y double")
-    found = entity_kmeans(df, ["g"], ["x", "y"], "kind", restarts=(3, 5), task_rows=500).collect()
+    found = entity_kmeans(df, ["g"], ["x", "y"], "kind", restarts=(3, 5), rows_in_task=500).collect()
     for g in (1, 2):
         centres = sorted(r["x"] for r in found if r["g"] == g)
         assert centres == pytest.approx([0, 4, 9], abs=0.1), g

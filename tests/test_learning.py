@@ -54,12 +54,57 @@ def test_planted_clusters_are_chosen(blobs):
     score, k, restarts, centres = C.choose_k(points, X, {0: range(2, 6)}, (3, 5))[0]
     assert k == 3 and 3 <= restarts <= 5 and score > 0.8
     near_planted(centres)
-    near_planted(C.choose_in_group(matrix(blobs), range(2, 6), (3, 5))[3])
+    hashes = np.array([r[0] for r in blobs.orderBy("id").select(C.row_hash(X)).collect()])
+    in_task = C.choose_in_group(matrix(blobs), hashes, range(2, 6), (3, 5))
+    assert in_task[:3] == (pytest.approx(score, abs=1e-9), k, restarts)
+    assert np.array(sorted(map(tuple, in_task[3]))) == pytest.approx(np.array(sorted(map(tuple, centres))), abs=1e-9)
+
+
+@pytest.fixture(scope="module")
+def groups(spark):
+    """Groups of several shapes: blurred clusters, many equal rows, few rows, one row, a null key."""
+    rng = np.random.default_rng(9)
+    rows = [(1, "abc"[i % 3], *map(float, CENTRES[i % 3] + rng.normal(0, 1.5, 4))) for i in range(260)]
+    rows += [(2, "ab"[i % 2], *map(float, CENTRES[i % 2])) for i in range(40)] + [(3, "a", *map(float, rng.normal(0, 1, 4))) for _ in range(7)]
+    rows += [(None, "a", *map(float, rng.normal(0, 1, 4))) for _ in range(50)] + [(4, "a", 1.0, 2.0, 3.0, 4.0)]
+    return spark.createDataFrame(rows, "g int, kind string, a double, b double, c double, d double")
+
+
+def by_group(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["g"], []).append((r["k"], r["restarts"], round(r["score"], 7), *(round(r[x], 7) for x in X)))
+    return {g: sorted(v) for g, v in out.items()}
+
+
+@pytest.mark.parametrize("squared", [False, True])
+def test_one_result_at_every_size(groups, squared):
+    """In tasks, as jobs, half and half, and for shuffled rows in other partitions."""
+    args = (["g"], X, "kind", 2, 3, (3, 6), squared)
+    want = by_group(C.entity_kmeans(groups, *args))
+    assert set(want) == {1, 2, 3, 4, None} and want[4][0][0] == 1
+    for limit in (0, 45):
+        assert by_group(C.entity_kmeans(groups, *args, rows_in_task=limit)) == want
+    assert by_group(C.entity_kmeans(groups.orderBy(F.rand(5)).repartition(7), *args)) == want
+    assert by_group(C.entity_kmeans(groups.orderBy(F.rand(6)).repartition(3), *args, rows_in_task=0)) == want
+
+
+def test_candidates_cover_all_different_rows(spark):
+    x = np.repeat(np.arange(12.0), 5)[:, None] + np.zeros((1, 4))
+    found, weights = C.candidates_of(x, np.arange(len(x)) % 12, 30)
+    assert found[:, 0].tolist() == list(range(12)) and weights.tolist() == [5] * 12
 
 
 def test_fuzzy_centres_match_a_plain_loop(blobs):
     soft, _, _ = C.fuzzy_cmeans_fit(blobs, X, 3, 3, (3, 4))
     near_planted(soft.centers)
+    assert soft.state.converged and soft.state.shift <= 1e-5 and soft.state.rounds > 1
+    with pytest.warns(RuntimeWarning, match="still moved"):
+        early, _, _ = C.fuzzy_cmeans_fit(blobs, X, 3, 3, (3, 4), rounds=2)
+    assert not early.state.converged and early.state.rounds == 2 and early.state.objective >= soft.state.objective
+    late, score, _ = C.fuzzy_cmeans_fit(blobs, X, start=early)
+    assert late.state.converged and late.state.rounds > 2 and score is None
+    assert np.array(late.centers) == pytest.approx(np.array(soft.centers), abs=1e-4)
     x, c = matrix(blobs), CENTRES.copy()
     for _ in range(200):
         d = ((x[:, None] - c[None]) ** 2).sum(2)
@@ -100,6 +145,26 @@ def test_silhouette_over_many_tiles(blobs, squared):
         assert C.group_silhouettes(matrix(blobs), [labels])[0] == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("squared", [True, False])
+def test_silhouette_of_blurred_clusters(spark, squared):
+    """Clusters of one row, equal points, overlapping clusters; far clusters are ruled out."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0, 1, (80, 4)), rng.normal(1, 2, (60, 4)), np.ones((20, 4)), rng.normal(30, 1, (50, 4)), [[9.0, 9, 9, 9]]])
+    labels = np.array([0] * 80 + [1] * 60 + [2] * 20 + [3] * 50 + [7])
+    rows = spark.createDataFrame([(i, int(c), *map(float, r)) for i, (r, c) in enumerate(zip(x, labels))], "id long, label int, a double, b double, c double, d double")
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    d = d if squared else np.sqrt(d)
+    want = []
+    for i, own in enumerate(labels):
+        mean = {c: d[i, labels == c].sum() / max(1, (labels == c).sum() - (c == own)) for c in set(labels)}
+        a, b = mean[own], min(v for c, v in mean.items() if c != own)
+        want.append(0 if (labels == own).sum() == 1 else (b - a) / max(a, b))
+    for tile in (17, 2048):
+        assert C.silhouette_score(rows, "id", X, "label", squared, tile).first()[0] == pytest.approx(np.mean(want), abs=1e-9)
+    one = rows.withColumn("label", F.lit(1))
+    assert C.silhouette_score(one, "id", X, "label", squared).first()[0] == 0
+
+
 def test_incomplete_rows_keep_their_values(spark, blobs, tmp_path):
     scaler = Scaler.fit(blobs, X)
     parts = Components.fit(scaler.apply(blobs), X, 0.9)
