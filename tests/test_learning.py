@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from xoutcome.operators import cluster as C
+from xoutcome.operators import models as M
 from xoutcome.operators.models import fit_forest, predict, random_search
 from xoutcome.operators.scaling import Components, Scaler, SoftClusters
 from xoutcome.plans.clusters import ClusterModel, score_clusters
@@ -200,3 +201,35 @@ def test_search_finds_deeper_trees(planted):
     _, table = random_search(planted, ["p", "q", "r"], "y", n=2, folds=3, settings=few)
     scores = {r["maxDepth"]: r["r2"] for r in table.collect()}
     assert scores["6"] > scores["1"]
+
+
+def test_a_forest_of_batches_is_one_forest(spark, planted, tmp_path):
+    """Its prediction is the mean of all trees, also after saving, and its rows keep their columns."""
+    from pyspark.ml import PipelineModel
+    model = fit_forest(planted, ["p", "q", "r"], "y", numTrees=25, trees_per_fit=10, maxDepth=4)
+    batches = model.stages[1:-1]
+    assert [m.getNumTrees for m in batches] == [10, 10, 5]
+    scored = predict(model, planted, "guess")
+    assert scored.columns == [*planted.columns, "guess"]
+    for r in scored.limit(5).collect():
+        from pyspark.ml.linalg import Vectors
+        x = Vectors.dense(r["p"], r["q"], r["r"])
+        trees = [t.predict(x) for m in batches for t in m.trees]
+        assert len(trees) == 25 and r["guess"] == pytest.approx(np.mean(trees), abs=1e-9)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = predict(PipelineModel.load(str(tmp_path / "m")), scored, "after")
+    assert again.where("guess <> after").count() == 0 and sum(M.importances(model)) == pytest.approx(1)
+
+
+def test_settings_by_number():
+    """All combinations, each once, and equal chances for all twelve depths."""
+    import itertools
+    grid = M.param_grid()
+    assert [tuple(s.values()) for s in grid] == list(itertools.product(*M.SEARCH.values())) and len(grid) == M.grid_size() == 1440
+    counts = {d: 0 for d in M.SEARCH["maxDepth"]}
+    for seed in range(300):
+        drawn = M.drawn_settings(100, seed)
+        assert len({i for i, _ in drawn}) == 100
+        for _, s in drawn:
+            counts[s["maxDepth"]] += 1
+    assert all(abs(n - 2500) < 250 for n in counts.values())
