@@ -42,7 +42,7 @@ ROWS, BANDS = 4, 32
 FIRST = 4
 AGREE = 72
 TILE = 512
-ROUNDS = 6
+ROUNDS = 2
 BROADCAST_IDS = 1_000_000
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())])
 
