@@ -47,15 +47,24 @@ def test_fill(rows, descending, same_day):
     same(W.fill_backward_forward(rows, *args, max_rows=CAP), W.fill_backward_forward(rows, *args, max_rows=None))
 
 
-def test_chunks_stay_small_and_keep_the_order(rows):
-    cut, chunks = hot.with_chunks(rows, ["key"], ["day", "seq"], CAP)
-    assert len(chunks) == 2  # the heavy day needed the second order column
-    sizes = cut.groupBy("key", *chunks).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 2 * CAP
-    placed = [(r["key"], tuple(r[c] for c in chunks)) for r in cut.orderBy("key", "day", "seq").collect()]
+def test_pieces_stay_small_and_keep_the_order(rows):
+    cut, pieces = hot.with_chunks(rows, ["key"], ["day", "seq"], CAP)
+    assert pieces == [hot.PIECE] and cut.count() == rows.count()
+    assert cut.groupBy("key", *pieces).count().agg(F.max("count")).first()[0] <= 2 * CAP
+    placed = [(r["key"], r[hot.PIECE]) for r in cut.orderBy("key", "day", "seq").collect()]
     assert placed == sorted(placed, key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
 
 
+def test_text_orders_and_null_places(spark):
+    """A hot key whose order is a text, and one with many nulls in its leading order column."""
+    data = [(1, f"t{i * 37 % 400:03d}", None if i % 3 else i % 7, i, ["single", None][i % 2], float(i) if i % 5 == 0 else None) for i in range(400)]
+    df = spark.createDataFrame(data, "key int, name string, place int, seq int, events string, v double").repartition(4)
+    for order in (["name", "seq"], ["place", "name"], ["place", "seq"]):
+        for descending in (True, False):
+            same(W.segment_ids(df, ["key"], order, descending=descending, max_rows=CAP), W.segment_ids(df, ["key"], order, descending=descending, max_rows=None))
+            same(W.fill_backward_forward(df, ["v"], ["key"], order, descending, max_rows=CAP), W.fill_backward_forward(df, ["v"], ["key"], order, descending, max_rows=None))
+
+
 def test_median_of_many_values(spark, rows):
     cut = A.exact_median(rows, ["key"], "v", max_rows=5)
     whole = rows.groupBy("key").agg(F.median("v").alias("median"))
@@ -96,3 +105,19 @@ def test_broadcast_is_checked(spark):
     plan = lambda df: spark.range(10).join(df, "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(hot.bounded_broadcast(small, 10))
     assert "broadcast" not in plan(hot.bounded_broadcast(large, 10))
+    wide = spark.range(5).select("id", F.expr("repeat('x', 20 << 20)").alias("text"))
+    assert "broadcast" not in plan(hot.bounded_broadcast(wide, 10))
+
+
+def test_many_top_rows(spark):
+    """More rows a cluster than Spark's own limit: ties, memberships outside of [0, 1], few rows in one cluster."""
+    from xoutcome.operators.rank import top_n_per_cluster
+    rows = spark.range(6000).select("id", (F.col("id") * 7919 % 1000 / 1000).alias("c0"), F.when(F.col("id") % 5 == 0, F.lit(0.5)).alias("c1"),
+                                    (F.col("id") % 30 - 10.0).alias("c2")).repartition(6)
+    data = rows.collect()
+    got = {(r["cluster"], r["place"]): r["id"] for r in top_n_per_cluster(rows, ["c0", "c1", "c2"], ["id"], 1500).collect()}
+    want = {}
+    for c in ("c0", "c1", "c2"):
+        best = sorted((-r[c], r["id"]) for r in data if r[c] is not None)[:1500]
+        want.update({(c, p): i for p, (_, i) in enumerate(best, 1)})
+    assert got == want

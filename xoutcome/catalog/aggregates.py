@@ -58,6 +58,16 @@ def _(t: Tables):
     return A.group_spread_and_list(t.pitch_fx, ["pitcher", "game_date"], ["ts", "seq"], ["xba"], ["xba", "batter"])
 
 
+@query("group_spread_and_list_cut", f"""SELECT pitcher, {r6('MAX(xba)', 'xba_max')}, {r6('MIN(xba)', 'xba_min')},
+list({r6('xba')} ORDER BY ts, seq) AS xba_list, list(batter ORDER BY ts, seq) AS batter_list FROM pitch_fx GROUP BY pitcher""", PITCH)
+def _(t: Tables):
+    """Lists in pieces, put together again in the order of their parts."""
+    parts = A.group_spread_and_list(t.pitch_fx, ["pitcher"], ["ts", "seq"], ["xba"], ["xba", "batter"], max_rows=60)
+    rows = F.array_sort(F.collect_list(F.struct("list_part", "xba_list", "batter_list")))
+    whole = parts.groupBy("pitcher", "xba_max", "xba_min").agg(rows.alias("rows"))
+    return whole.select("pitcher", "xba_max", "xba_min", *[F.flatten(F.col("rows").getField(c)).alias(c) for c in ("xba_list", "batter_list")])
+
+
 _WEIGHTED = ["cluster_attribute_0", "cluster_attribute_1"]
 _WMEAN = "COALESCE(SUM(ABS(xba) * ABS({w})) / NULLIF(SUM(ABS({w})), 0), 0)"
 

@@ -8,7 +8,7 @@ from xoutcome import schema as S
 from xoutcome.catalog.base import Tables, query, quoted, r6, r6s
 from xoutcome.functions import text, values
 from xoutcome.operators import filters
-from xoutcome.operators.windows import days_before, rolled, with_day_number
+from xoutcome.operators.windows import rolling_hard
 from xoutcome.plans import clean
 from xoutcome.plans.features import cast_types, rate_per_pa
 
@@ -202,31 +202,30 @@ def _(t: Tables):
     return t.pitch_fx.select("seq", values.classify_event(F.coalesce("events", "description")).alias("bat_event"))
 
 
-def _marked(expr: str, words: list[str]) -> str:
-    for word in words:
-        expr = f"replace({expr}, '{word}', '>>')"
-    return expr
+def _one_of(words: list[str]) -> str:
+    """The words as one group of a pattern, each as it stands."""
+    return "(?:" + "|".join("".join("\\" + c if c in ".()[]{}*+?^$|\\" else c for c in w) for w in words) + ")"
 
 
-def _first(expr: str) -> str:
-    return f"split_part({_marked(expr, S.ACTION_WORDS)}, '>>', 1)"
+def _before_any(expr: str, words: list[str]) -> str:
+    return f"regexp_extract({expr}, '(?s)^(.*?)(?:{_one_of(words)}|$)', 1)"
 
 
-def _last(expr: str, marks: list[str]) -> str:
-    return f"split_part({_marked(expr, marks)}, '>>', -1)"
+def _after_all(expr: str, marks: list[str]) -> str:
+    return f"regexp_extract({expr}, '(?s)^(?:.*{_one_of(marks)})?(.*)$', 1)"
 
 
-@query("extract_actor", f"SELECT id, {_first('des')} AS actor FROM name_fx", ("name_fx",))
+@query("extract_actor", f"SELECT id, {_before_any('des', S.ACTION_WORDS)} AS actor FROM name_fx", ("name_fx",))
 def _(t: Tables):
     return t.name_fx.select("id", text.extract_actor(F.col("des")).alias("actor"))
 
 
-@query("after_last_base", f"SELECT id, {_last('des', S.BASE_MARKS)} AS rest FROM name_fx", ("name_fx",))
+@query("after_last_base", f"SELECT id, {_after_all('des', S.BASE_MARKS)} AS rest FROM name_fx", ("name_fx",))
 def _(t: Tables):
     return t.name_fx.select("id", text.after_last_base(F.col("des")).alias("rest"))
 
 
-@query("after_challenge", f"SELECT id, {_last('des', S.CHALLENGE_MARKS)} AS rest FROM name_fx", ("name_fx",))
+@query("after_challenge", f"SELECT id, {_after_all('des', S.CHALLENGE_MARKS)} AS rest FROM name_fx", ("name_fx",))
 def _(t: Tables):
     return t.name_fx.select("id", text.after_challenge(F.col("des")).alias("rest"))
 
@@ -244,7 +243,7 @@ def _(t: Tables):
     return t.name_fx.select("id", text.null_for_events(F.col("des"), F.col("events")).alias("des"))
 
 
-_ACTOR = _last(_last(_first("COALESCE(des, 'blank')"), S.BASE_MARKS), S.CHALLENGE_MARKS)
+_ACTOR = _after_all(_after_all(_before_any("COALESCE(des, 'blank')", S.ACTION_WORDS), S.BASE_MARKS), S.CHALLENGE_MARKS)
 
 
 @query("actor_name", f"SELECT id, CASE WHEN NOT {_UNNAMED} AND length(a) <= 40 THEN a END AS actor "
@@ -350,12 +349,9 @@ def _(t: Tables):
 WITH d AS (SELECT pitcher, game_date, k, pa, bb FROM day_fx),
 r AS (SELECT pitcher, game_date, SUM(k) OVER w AS k_roll, SUM(pa + bb) OVER w AS base FROM d
   WINDOW w AS (PARTITION BY pitcher ORDER BY game_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
-SELECT pitcher, game_date, {r6('k_roll / base', 'k_roll_per_pa')} FROM r""", ("day_fx",))
+SELECT pitcher, game_date, {r6('k_roll / base', 'k_roll_per_pa')} FROM r WHERE base <> 0""", ("day_fx",))
 def _(t: Tables):
-    frame = days_before("pitcher", 30)
-    base = rolled(F.col("pa"), frame, 1) + rolled(F.col("bb"), frame, 1)
-    rate = F.try_divide(rolled(F.col("k"), frame, 1), base)
-    return with_day_number(t.day_fx).select("pitcher", "game_date", rate.alias("k_roll_per_pa"))
+    return rolling_hard(t.day_fx, ["k"], needed=1)
 
 
 @query("cast_types", f"SELECT pitcher, game_date, CAST(pa AS INTEGER) AS pa, CAST(bb AS DOUBLE) AS bb, {r6s('xba')} "

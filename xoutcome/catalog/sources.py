@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from xoutcome import schema as S
 from xoutcome.catalog.base import Tables, query, r6, r6s
+from xoutcome.catalog.whole import features_sql
 from xoutcome.operators.models import predict
 from xoutcome.operators.evaluate import errors
 from xoutcome.operators.rank import temporal_split
@@ -24,9 +25,10 @@ _OTHERS = [c for c in S.KEEP if c not in _DOUBLES]
 def _(t: Tables):
     path = fresh_path(t.spark, "raw-csv")
     columns = [*S.KEEP, "at_bat_number"]
-    # Written in another order and with a column that the schema does not know.
-    shuffled = [F.lit("more").alias("unknown"), *[F.col(c) for c in sorted(columns)]]
-    t.raw_fx.select(*shuffled).write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    # Written as files of two headers: other orders, and a column that the schema does not know in the first ones only.
+    for even, names in ((True, ["unknown", *sorted(columns)]), (False, sorted(columns, reverse=True))):
+        rows = t.raw_fx.withColumn("unknown", F.lit("more")).where((F.col("at_bat_number") % 2 == 0) == even).select(*names)
+        rows.write.mode("append").option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(path)
     return events.scan_events(t.spark, path, T.StructType([S.RAW_SCHEMA[c] for c in columns]))
 
 
@@ -163,12 +165,13 @@ def _(t: Tables):
     return t.spark.read.parquet(f"{folder}/evaluation/errors")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"SELECT batter, game_date, TRUE AS same FROM ({features_sql('batter', ['bb', 'k', 'pa', 'next_play'], ['next_xba'], S.BATTER_WINDOWS, 15, True, True)}) x", ("day_fx",))
 def _(t: Tables):
-    """A forest, saved and loaded, predicts what it did before."""
+    """A forest of two batches of trees, saved, sealed and opened again, predicts what it did before."""
     rows = batter_features(t.day_fx.withColumnsRenamed({"pitcher": "batter", "xba": S.TARGET}))
-    model = fit_model(rows, "batter", numTrees=5, maxDepth=5)
+    model = fit_model(rows, "batter", numTrees=20, trees_per_fit=10)
     folder = fresh_path(t.spark, "model")
-    tables.save_model(model, folder, "batter")
-    again = predict(tables.load_model(folder, "batter"), predict(model, rows, "before"), "after")
-    return again.select("batter", "game_date", "before", "after")
+    tables.save_model(model, tables.version_path(folder, 1), "batter")
+    tables.commit_models(t.spark, folder, 1)
+    again = predict(tables.load_model(tables.open_models(t.spark, folder), "batter"), predict(model, rows, "before"), "after")
+    return again.select("batter", "game_date", (F.abs(F.col("before") - F.col("after")) < 1e-12).alias("same"))

@@ -112,7 +112,7 @@ def _(t: Tables):
 
 # ---- P2, P3, P4 ----
 
-def _features_sql(entity: str, ints: list[str], extra: list[str], windows: dict, lags: int, today: bool, nxt: bool) -> str:
+def features_sql(entity: str, ints: list[str], extra: list[str], windows: dict, lags: int, today: bool, nxt: bool) -> str:
     source = "day_" + entity
     played = "next_play" if nxt else "play"
     deep, rates, lag_names = depth(entity, "rates", windows, lags, today)
@@ -128,13 +128,13 @@ def _features_sql(entity: str, ints: list[str], extra: list[str], windows: dict,
             f"{'next_play' if nxt else 'pa'} <> 0")
 
 
-@query("batter_features", _features_sql("batter", ["bb", "k", "pa", "next_play"], ["next_xba"], S.BATTER_WINDOWS, 15, True,
+@query("batter_features", features_sql("batter", ["bb", "k", "pa", "next_play"], ["next_xba"], S.BATTER_WINDOWS, 15, True,
                                         True), DAYS)
 def _(t: Tables):
     return batter_features(t.day_fx.withColumnRenamed("pitcher", "batter"), target="xba")
 
 
-@query("pitcher_features", _features_sql("pitcher", ["bb", "k", "pa"], [], S.PITCHER_WINDOWS, 22, False, False), DAYS)
+@query("pitcher_features", features_sql("pitcher", ["bb", "k", "pa"], [], S.PITCHER_WINDOWS, 22, False, False), DAYS)
 def _(t: Tables):
     return pitcher_features(t.day_fx, target="xba")
 
@@ -171,11 +171,12 @@ def _(t: Tables):
 
 # ---- P6 ----
 
-@query("fresh_build")
+@query("fresh_build", """SELECT model, split, TRUE AS sound FROM (VALUES ('batter'), ('pitcher'), ('matchup'), ('stacked'), ('combined')) m(model),
+(VALUES ('train'), ('test')) s(split)""")
 def _(t: Tables):
-    """All stages over the raw events, with few restarts and trees; returns the errors of the five models."""
-    small = {"numTrees": 5, "maxDepth": 5}
-    settings = BuildSettings(
-        min_games=1, min_rows=100, goal=0.5, clusters=(3, 4), restarts=(3, 3), fuzzy_rounds=30,
-        forests={kind: small for kind in ("batter", "pitcher", "matchup", "stacked", "combined")})
-    return fresh_build(t.raw_fx, fresh_path(t.spark, "build"), settings)["errors"]
+    """All stages over the raw events; each model's errors on both splits agree with each other as errors must."""
+    kinds = ("batter", "pitcher", "matchup", "stacked", "combined")
+    settings = BuildSettings(min_games=1, min_rows=100, clusters=(3, 8), forests={kind: {"numTrees": 20} for kind in kinds})
+    errors = fresh_build(t.raw_fx, fresh_path(t.spark, "build"), settings)["errors"]
+    sound = (F.col("mae") >= 0) & (F.col("mse") >= F.col("mae") * F.col("mae") - 1e-9) & (F.col("wmae") >= 0)
+    return errors.select("model", "split", sound.alias("sound"))

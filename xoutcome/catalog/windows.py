@@ -21,6 +21,12 @@ def _(t: Tables):
     return W.segment_ids(t.pitch_fx, ["pitcher"], ["ts", "seq"]).select("seq", "pitcher", "segment_id")
 
 
+@query("segment_ids_cut", f"WITH {SEGMENTS} SELECT seq, pitcher, segment_id FROM seg", PITCH)
+def _(t: Tables):
+    """The same with every key of more than 60 rows cut into pieces."""
+    return W.segment_ids(t.pitch_fx, ["pitcher"], ["ts", "seq"], max_rows=60).select("seq", "pitcher", "segment_id")
+
+
 def _nearest(c: str, *order: str) -> str:
     return (f"last_value(CASE WHEN xba IS NOT NULL AND release_spin_rate IS NOT NULL THEN {c} END IGNORE NULLS) OVER "
             f"(PARTITION BY {order[1]} ORDER BY ts {order[0]}, seq {order[0]} ROWS UNBOUNDED PRECEDING)")
@@ -37,6 +43,13 @@ def _(t: Tables):
     return W.fill_backward_forward(t.pitch_fx, cols, ["pitcher"], ["ts", "seq"]).select("seq", *cols)
 
 
+@query("fill_backward_forward_cut", f"SELECT seq, {r6(_filled('xba'), 'xba')}, "
+       f"{r6(_filled('release_spin_rate'), 'release_spin_rate')} FROM pitch_fx", PITCH)
+def _(t: Tables):
+    cols = ["xba", "release_spin_rate"]
+    return W.fill_backward_forward(t.pitch_fx, cols, ["pitcher"], ["ts", "seq"], max_rows=60).select("seq", *cols)
+
+
 def _same_day(c: str) -> str:
     parts = [_nearest(c, d, by) for by in ("pitcher, game_date", "pitcher") for d in ("ASC", "DESC")]
     return f"COALESCE({', '.join(parts)})"

@@ -1,9 +1,10 @@
 """Ordered work inside keys of any size.
 
-A window over a key puts all rows of the key into one task. Where a key holds more than ``max_rows``
-rows, its order range is cut at value percentiles into chunks; windows run per chunk and the carry
-between chunks comes from a small table with one row per chunk. Where the cuts fall changes speed only,
-never results, so approximate percentiles are enough.
+A window over a key puts all rows of the key into one task. Where a key holds more than ``max_rows`` rows, all rows are
+dealt out by ranges of (key, order) instead, which Spark cuts from samples, and stored with the number of their range, their
+piece. Windows run per key and piece, and what the pieces before owe a piece comes from a table with one row per key and
+piece. Where the cuts fall changes speed only, never results. Order columns may be of any type and hold nulls, which
+come first in rising order, as in Spark's windows.
 """
 
 from __future__ import annotations
@@ -12,22 +13,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from xoutcome.session import stored
 
 MAX_ROWS = 5_000_000
 BROADCAST_ROWS = 200_000
-_CHUNK = "_chunk"
+BROADCAST_BYTES = 64 << 20
+PIECE = "_piece"
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` where it is proven to have at most ``max_rows`` rows, else leave it to a shuffle join.
+    """Broadcast ``df`` where it is proven to have at most ``max_rows`` rows and ``BROADCAST_BYTES``, else leave it to a shuffle join.
 
     The rows are fetched once (at most ``max_rows + 1``), so the plan that follows does not compute them again.
     """
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > BROADCAST_BYTES:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
@@ -39,58 +40,23 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, matches, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _cut(df: DataFrame, keys: list[str], chunks: list[str], by: str, out: str, max_rows: int) -> DataFrame | None:
-    """Add ``out``, the place of ``by`` among the cut points of its key; None where nothing is too large.
-
-    Even numbers are open ranges between two cut points. Odd numbers are the rows equal to a cut point:
-    a value heavy enough to need a cut of its own always is one, and only there a later order column may cut.
-    """
-    groups = keys + chunks
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    if chunks:
-        counts = counts.filter(F.col(chunks[-1]) % 2 == 1)
-    found = counts.toArrow()  # at most (rows / max_rows) keys
-    if found.num_rows == 0:
-        return None
-    # A key gets 4, 16, 64, ... pieces, the first number that makes them small enough.
-    tiers = F.ceil(F.log(4.0, F.col("_n") / max_rows)).cast("int")
-    hot = df.sparkSession.createDataFrame(found, counts.schema).withColumn("_tier", F.greatest(tiers, F.lit(1)))
-    levels = [r["_tier"] for r in hot.select("_tier").distinct().collect()]
-    cuts = stored(reduce(DataFrame.unionAll, [
-        null_safe_join(df.select(*groups, by), F.broadcast(hot.filter(F.col("_tier") == level).select(*groups)),
-                       groups, "left_semi")
-        .groupBy(*groups).agg(F.array_distinct(F.percentile_approx(
-            by, [i / 4 ** level for i in range(1, 4 ** level)], max(10_000, 10 * 4 ** level))).alias("_cuts"))
-        for level in levels
-    ]), "cuts")
-    # Written, as both branches of a caller must see the same cuts; at most (4 * rows / max_rows) values.
-    joined = null_safe_join(df, F.broadcast(cuts), groups)
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(by)))
-    equal = F.coalesce(F.array_contains("_cuts", F.col(by)), F.lit(False)).cast("int")
-    return joined.withColumn(out, F.when(F.col("_cuts").isNull(), 0).otherwise(2 * below + equal)).drop("_cuts")
-
-
 def with_chunks(
     df: DataFrame, keys: list[str], split_on: list[str], max_rows: int | None = MAX_ROWS
 ) -> tuple[DataFrame, list[str]]:
-    """Cut oversized keys along ``split_on``, the leading order columns; later ones cut what earlier ones left large.
+    """Deal the rows out by ranges of the keys and the order columns ``split_on``, if a key has too many for one task.
 
-    Returns the frame and the names of the chunk columns, none where no key is oversized.
+    Returns the frame and the names of the piece columns, none where no key is oversized. Pieces rise with the order;
+    equal places share a piece, so ``split_on`` should be the whole, unique order. Beforehand there is one count of rows by key.
     """
-    chunks: list[str] = []
     if max_rows is None:
-        return df, chunks
-    ranged = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    for by in split_on:
-        if not isinstance(df.schema[by].dataType, ranged):
-            break
-        name = f"{_CHUNK}{len(chunks)}"
-        cut = _cut(df, keys, chunks, by, name, max_rows)
-        if cut is None:
-            break
-        df = cut
-        chunks.append(name)
-    return df, chunks
+        return df, []
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else df.agg(F.count(F.lit(1)).alias("_n"))
+    most, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+    if most is None or most <= max_rows:
+        return df, []
+    parts = -(-2 * total // max_rows)
+    cut = df.repartitionByRange(parts, *[F.asc_nulls_first(c) for c in dict.fromkeys([*keys, *split_on])]).withColumn(PIECE, F.spark_partition_id())
+    return stored(cut, "pieces"), [PIECE]
 
 
 def directed(columns: list[str], descending: bool) -> list[Column]:
@@ -104,7 +70,7 @@ def running_sum(
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key up to this row, in a unique order."""
     df = df.withColumn("_v", value)
-    df, chunks = with_chunks(df, keys, split_on or order[:1], max_rows)
+    df, chunks = with_chunks(df, keys, split_on or order, max_rows)
     local = Window.partitionBy(*keys, *chunks).orderBy(*directed(order, descending))
     result = df.withColumn(out, F.sum("_v").over(local.rowsBetween(Window.unboundedPreceding, 0)))
     if chunks:
@@ -127,7 +93,7 @@ def next_and_previous(
     Looking ahead runs over the reversed order with a growing frame: a frame that ends at the last row
     would be scanned again for each row.
     """
-    df, chunks = with_chunks(df, keys, split_on or order[:1], max_rows)
+    df, chunks = with_chunks(df, keys, split_on or order, max_rows)
     part = Window.partitionBy(*keys, *chunks)
     back = part.orderBy(*directed(order, not descending)).rowsBetween(Window.unboundedPreceding, 0)
     forth = part.orderBy(*directed(order, descending)).rowsBetween(Window.unboundedPreceding, 0)

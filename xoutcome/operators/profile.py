@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
-from itertools import permutations
-
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from xoutcome.operators.hot import bounded_broadcast, null_safe_join
 
 
-def _unrolled(wide: DataFrame, names: list[str], ids: list[str], key: str, value: str) -> DataFrame:
-    return wide.unpivot(ids, names, key, value)
+def null_patterns(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
+    """(by, _nulls, _n): which columns are null together, as an array of their places, and in how many rows.
+
+    One group-by over all rows; all profiles of nulls below read this small table alone.
+    """
+    places = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(i)) for i, c in enumerate(columns)]), lambda i: i.isNotNull())
+    return df.groupBy(*by, places.alias("_nulls")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _named(places: Column, columns: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), places + 1)
 
 
 def null_counts(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
     """Nulls per column, and per group where given."""
-    wide = df.groupBy(*by).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _unrolled(wide, columns, list(by), "column_name", "nulls")
+    each = null_patterns(df, columns, by).select(*by, "_n", "_nulls", F.explode(F.sequence(F.lit(0), F.lit(len(columns) - 1))).alias("_c"))
+    return each.groupBy(*by, _named(F.col("_c"), columns).alias("column_name")).agg(
+        F.sum(F.when(F.array_contains("_nulls", F.col("_c")), F.col("_n")).otherwise(0)).alias("nulls"))
 
 
 def null_counts_by_game_type(df: DataFrame, columns: list[str], regular: str = "R",
                              column: str = "game_type") -> DataFrame:
     """Nulls per column in regular and in other games."""
     is_regular = F.coalesce(F.col(column) == regular, F.lit(False))
-    both = df.groupBy(is_regular.alias("_regular")).agg(
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    long = _unrolled(both, columns, ["_regular"], "column_name", "nulls")
+    long = null_counts(df.withColumn("_regular", is_regular), columns, ["_regular"])
     return long.groupBy("column_name").agg(
         F.sum(F.when(F.col("_regular"), F.col("nulls")).otherwise(0)).alias("regular"),
         F.sum(F.when(~F.col("_regular"), F.col("nulls")).otherwise(0)).alias("other"))
@@ -45,29 +51,29 @@ def missing_by_event(df: DataFrame, columns: list[str], event: str = "bat_event"
     return null_counts(known, columns, [event]).filter(F.col("nulls") > 0)
 
 
+def _pairs(df: DataFrame, columns: list[str], ordered: bool) -> DataFrame:
+    """(_a, _b, both, only_a, only_b, rows): for each pair of columns, rows with a null in both, in one, and all rows."""
+    places = F.sequence(F.lit(0), F.lit(len(columns) - 1))
+    pairs = null_patterns(df, columns).select("_n", "_nulls", F.explode(places).alias("_a")).select(
+        "_n", "_nulls", "_a", F.explode(places).alias("_b")).where("_a < _b" if ordered else "_a <> _b")
+    a, b = F.array_contains("_nulls", F.col("_a")), F.array_contains("_nulls", F.col("_b"))
+    count = lambda c: F.sum(F.when(c, F.col("_n")).otherwise(0))
+    return pairs.groupBy("_a", "_b").agg(count(a & b).alias("both"), count(a & ~b).alias("only_a"), count(b & ~a).alias("only_b"), F.sum("_n").alias("rows"))
+
+
 def missing_pair_difference(df: DataFrame, columns: list[str]) -> DataFrame:
     """For each pair of columns, rows where the first is null and the second is not."""
-    pairs = list(permutations(columns, 2))
-    wide = df.agg(*[
-        F.count_if(F.col(a).isNull() & F.col(b).isNotNull()).alias(f"p{i}") for i, (a, b) in enumerate(pairs)
-    ])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"p{i}").alias("only_a_null"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.inline(rows))
+    return _pairs(df, columns, False).select(
+        _named(F.col("_a"), columns).alias("column_a"), _named(F.col("_b"), columns).alias("column_b"), F.col("only_a").alias("only_a_null"))
 
 
 def nullity_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of the null flags of each pair of columns (A16); null for a constant flag."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    flag = lambda c: F.col(c).isNull().cast("double")
-    wide = df.agg(*[F.corr(flag(a), flag(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"p{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.inline(rows))
+    n, a, b = F.col("rows").cast("double"), (F.col("both") + F.col("only_a")).cast("double"), (F.col("both") + F.col("only_b")).cast("double")
+    spread = F.sqrt(a * (n - a)) * F.sqrt(b * (n - b))
+    return _pairs(df, columns, True).select(
+        _named(F.col("_a"), columns).alias("column_a"), _named(F.col("_b"), columns).alias("column_b"),
+        F.when(spread > 0, (n * F.col("both") - a * b) / spread).alias("correlation"))
 
 
 def is_continuous(df: DataFrame, column: str, limit: int = 20) -> bool:

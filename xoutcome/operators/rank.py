@@ -28,10 +28,29 @@ def top_rows(df: DataFrame, keys: list[str], order: list[Column], n: int, place:
     return some.drop("_salt")
 
 
+GROUP_LIMIT = 1_000  # Spark keeps a task's best rows before a shuffle up to this many
+BINS = 4_096
+
+
+def _candidates(long: DataFrame, n: int) -> DataFrame:
+    """Rows that can be among the ``n`` of highest membership of their cluster, by counts of rows in bins of it.
+
+    A bin of memberships stays if fewer than ``n`` rows stand in the bins above it. Counts are summed inside tasks
+    first, so that a shuffle carries ``BINS`` numbers a cluster and task, and then little more than ``n`` rows a cluster.
+    """
+    rows = long.withColumn("_bin", F.floor(F.least(F.greatest("membership", F.lit(0.0)), F.lit(1.0)) * BINS).cast("int"))
+    counts = rows.groupBy("cluster", "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    above = F.sum("_n").over(Window.partitionBy("cluster").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1))
+    wanted = counts.withColumn("_above", above).where(F.coalesce("_above", F.lit(0)) < n).select("cluster", "_bin")
+    return rows.join(wanted, ["cluster", "_bin"], "left_semi").drop("_bin")
+
+
 def top_n_per_cluster(df: DataFrame, clusters: list[str], key: list[str], n: int = 500) -> DataFrame:
     """The ``n`` rows with the highest membership of each cluster."""
     others = [c for c in df.columns if c not in clusters]
     long = df.unpivot(others, clusters, "cluster", "membership").filter(F.col("membership").isNotNull())
+    if n > GROUP_LIMIT:
+        long = _candidates(long, n)
     return top_rows(long, ["cluster"], [F.desc("membership"), *map(F.col, key)], n)
 
 
