@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.test_containment import shingles
 from tests.llm.test_minhash import brute as classes
-from tests.llm.test_suffixes import L, Counter
+from tests.llm.test_suffixes import Counter
 from xoutcome.llm import toxicity
 from xoutcome.llm.words import vocabulary_path
 
@@ -32,6 +32,7 @@ def test_stages(spark, small):
 
     docs = stages["suffix_dedup"](spark, docs, small)
     data = {i: r.text.encode() for i, r in rows.items()}
+    L = corpus_pipeline.PASSAGE_BYTES
     seen = Counter(b[s:s + L] for b in data.values() for s in range(len(b) - L + 1))
     wanted = {}
     for i, b in data.items():
@@ -39,6 +40,9 @@ def test_stages(spark, small):
         for s in range(len(b) - L + 1):
             if seen[b[s:s + L]] > 1:
                 stay[s:s + L] = False
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], stay, [True]]).astype(int)))
+        for first, last in zip(edges[::2], edges[1::2]):  # runs of 50 words and fewer stay
+            stay[first:last] = len(b[first:last].split()) < 51
         wanted[i] = np.frombuffer(b, np.uint8)[stay].tobytes().decode("utf-8", "ignore")
     got = {r.doc_id: r for r in docs.collect()}
     assert {i: r.text for i, r in got.items()} == wanted and all(r.n_chars == len(r.text) for r in got.values())

@@ -87,3 +87,24 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
         anchors.append(own)
     for w in (shared[i:i + L] for i in range(301)):
         assert len({a[w] for a in anchors}) == 1
+
+
+def test_unlike_texts_under_one_id(spark):
+    """The windows of one text are never cut out of another that has its id."""
+    draw = random.Random(9)
+    prose = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage = prose(600)
+    rows = [(1, prose(50) + passage), (1, prose(700)), (2, passage), (None, prose(30) + passage), (None, prose(800))]
+    assert found(suffixdedup.digests(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_other_lengths_and_runs_of_few_words(spark):
+    draw = random.Random(10)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7))) for _ in range(n))
+    long, short = prose(56), prose(40)
+    rows = [(1, f"{prose(80)} {long} {prose(30)}"), (2, f"{prose(30)} {long} {prose(9)} {short}"), (3, f"{short} {prose(60)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in suffixdedup.rewritten(df, least_words=51, length=180, gram=60).collect()}
+    assert long not in got[1] and long not in got[2] and len(got[1]) < len(rows[0][1]) - len(long) + 3 and short in got[2] and got[3] == rows[2][1]
+    both = {r.doc_id: r.text for r in suffixdedup.rewritten(df, length=180, gram=60).collect()}
+    assert short not in both[2] and short not in both[3]

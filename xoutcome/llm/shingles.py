@@ -18,27 +18,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x * np.uint64(0x94D049BB133111EB)
 
 
+class _Hashes(dict):
+    """Hashes of words; the first ``limit`` different ones are remembered, which the frequent ones are among."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: bytes) -> int:
+        found = xxhash.xxh3_64_intdigest(word)
+        if len(self) < self.limit and len(word) < 100:
+            self[word] = found
+        return found
+
+
 class Shingler:
-    """Hashes of word shingles; each word is hashed once while it stays among ``limit`` remembered ones."""
+    """Hashes of word shingles."""
 
-    def __init__(self, size: int = SHINGLE_WORDS, limit: int = 500_000):
-        self.size, self.limit = size, limit
-        self.known: dict[bytes, int] = {}
+    def __init__(self, size: int = SHINGLE_WORDS, limit: int = 200_000):
+        self.size = size
+        self.known = _Hashes(limit)
 
     def words(self, text: bytes) -> np.ndarray:
         """The hash of every word (a run without ASCII white space) after lower-casing A-Z."""
-        words = text.lower().split()
         known = self.known
-        try:
-            return np.array([known[w] for w in words], np.uint64)
-        except KeyError:
-            pass
-        if len(known) >= self.limit:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([known[w] for w in words], np.uint64)
+        return np.array([known[w] for w in text.lower().split()], np.uint64)
 
     def distinct(self, text: bytes) -> np.ndarray:
         """The sorted distinct shingles; of fewer words the whole sequence is one, of none there is none."""

@@ -13,8 +13,9 @@ a common anchor can hold them.
 5. Each text loses what its repeated windows cover.
 
 Equality of whole runs is judged under equal 64-bit anchors by another 64-bit hash, all else by bytes. Null texts are
-empty. An id stands for one text: rows that repeat an id and its text count as two texts. Rows without an id are told
-apart by a hash of the text. Other columns are left behind. An empty table gives no rows.
+empty. Rows are told apart by a 64-bit hash of id and text, so that unlike texts under one id, or without one, are judged
+each for itself; rows that repeat both count as two texts. Other columns are left behind. An empty table gives no rows.
+``length`` and ``gram`` are parameters of all steps; ``rewritten`` can leave runs of few words alone.
 """
 
 from __future__ import annotations
@@ -46,14 +47,14 @@ def _batched(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa
             yield batch.slice(at, rows)
 
 
-def run_table(docs: DataFrame) -> DataFrame:
+def run_table(docs: DataFrame, length: int = LENGTH, gram: int = winnow.GRAM) -> DataFrame:
     """All runs: first and last window start, distance of the anchor from the first one, hashes of anchor and bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches):
             keys = np.array(batch.column(0).to_pylist(), np.int64)
-            for data, number, shift, first, last, at, anchor in winnow.runs(column_bytes(batch.column(1))):
+            for data, number, shift, first, last, at, anchor in winnow.runs(column_bytes(batch.column(1)), length, gram):
                 view = memoryview(data)
-                content = np.array([xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist())],
+                content = np.array([xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())],
                                    np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (keys[number], first + shift, last + shift, (at - first).astype(np.int32), anchor, content)],
@@ -61,13 +62,13 @@ def run_table(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, RUN)
 
 
-def with_bytes(members: DataFrame, docs: DataFrame) -> DataFrame:
+def with_bytes(members: DataFrame, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The members with the bytes that their windows cover; texts are read once, and only of ids that occur."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches, 200):
             rows = []
             for text, key, items in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                rows += [(m["bucket"], m["anchor"], key, m["first"], m["distance"], m["n"], text[m["first"]:m["last"] + LENGTH]) for m in items]
+                rows += [(m["bucket"], m["anchor"], key, m["first"], m["distance"], m["n"], text[m["first"]:m["last"] + length]) for m in items]
             yield pa.RecordBatch.from_pylist([dict(zip(_MEMBER.names, r)) for r in rows], schema=_MEMBER)
     by_text = members.groupBy("key").agg(F.collect_list(F.struct("bucket", "anchor", "first", "last", "distance", "n")).alias("items"))
     by_text = stored(by_text, "members")
@@ -88,27 +89,27 @@ def _spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])]
 
 
-def by_suffix_arrays(members: DataFrame) -> DataFrame:
+def by_suffix_arrays(members: DataFrame, length: int = LENGTH) -> DataFrame:
     """(key, first, last) of the repeated windows of members that occur once, from one suffix array per bucket."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for key, first, n, starts in zip(group["key"], group["first"], group["n"], repeated(group["data"].tolist(), LENGTH)):
+        for key, first, n, starts in zip(group["key"], group["first"], group["n"], repeated(group["data"].tolist(), length)):
             if n == 1 and len(starts):
                 out += [(key, first + a, first + b) for a, b in zip(*_spans(starts))]
         return pd.DataFrame(out, columns=["key", "first", "last"]).astype("int64")
     return members.select("bucket", "key", "first", "n", "data").groupBy("bucket").applyInPandas(run, "key long, first long, last long")
 
 
-def by_window_counts(members: DataFrame) -> DataFrame:
+def by_window_counts(members: DataFrame, length: int = LENGTH) -> DataFrame:
     """The same for anchors with too many distinct runs: every window is counted by distance and hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches, 200):
             anchor, key, first, distance = (np.array(batch.column(i).to_pylist(), np.int64) for i in range(4))
             data = batch.column(4).to_pylist()
-            sizes = np.array([len(d) - LENGTH + 1 for d in data], np.int64)
+            sizes = np.array([len(d) - length + 1 for d in data], np.int64)
             start = ragged(np.zeros(len(sizes), np.int64), sizes)
             own = np.repeat(np.arange(len(sizes)), sizes)
-            hashes = np.array([xxhash.xxh3_64_intdigest(d[i:i + LENGTH]) for d, n in zip(data, sizes.tolist()) for i in range(n)], np.uint64)
+            hashes = np.array([xxhash.xxh3_64_intdigest(d[i:i + length]) for d, n in zip(data, sizes.tolist()) for i in range(n)], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
                 anchor[own], distance[own] - start, hashes.view(np.int64), key[own], first[own] + start)],
                 names=["anchor", "distance", "window", "key", "first"])
@@ -118,9 +119,10 @@ def by_window_counts(members: DataFrame) -> DataFrame:
     return windows.join(windows.groupBy(*same).count().where("count > 1"), same).select("key", "first", F.col("first").alias("last"))
 
 
-def repeated_windows(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
+def repeated_windows(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_bytes: int = HOT_BYTES, length: int = LENGTH,
+                     gram: int = winnow.GRAM) -> DataFrame:
     """(key, first, last) of window starts whose string starts elsewhere too; spans of one text may be many."""
-    table = stored(run_table(docs), "runs")
+    table = stored(run_table(docs, length, gram), "runs")
     shared = table.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), (F.min("content") != F.max("content")).alias("open")).where("times > 1")
     shared = stored(shared, "anchors")  # as a table, so that Spark may split the join's large partitions
     met = stored(table.join(shared.select("anchor", "open"), "anchor"), "shared-runs")
@@ -131,44 +133,47 @@ def repeated_windows(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_byte
     contents = stored(unsure.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "last", "distance")).alias("one")).select("anchor", "content", "n", "one.*"), "contents")
     equal = unsure.join(contents.where("n > 1").select("anchor", "content"), ["anchor", "content"]).select(span)
-    size = (F.col("last") - F.col("first") + LENGTH).alias("size")
+    size = (F.col("last") - F.col("first") + length).alias("size")
     sizes = stored(contents.groupBy("anchor").agg(F.sum(size).alias("bytes"), F.min("n").alias("least")).where("least = 1"), "anchors")
     total, most = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
     buckets = max(1, -(-total // bucket_bytes))
     hot = F.col("bytes") > hot_bytes
     members = stored(with_bytes(contents.join(sizes, "anchor").withColumn("bucket", F.when(hot, F.lit(-1).cast("long")).otherwise(
-        F.pmod(F.xxhash64("anchor"), F.lit(buckets)))), docs), "members")
-    found = by_suffix_arrays(members.where("bucket >= 0"))
+        F.pmod(F.xxhash64("anchor"), F.lit(buckets)))), docs, length), "members")
+    found = by_suffix_arrays(members.where("bucket >= 0"), length)
     if most > hot_bytes:
-        found = found.union(by_window_counts(members.where("bucket = -1")))
+        found = found.union(by_window_counts(members.where("bucket = -1"), length))
     return decided.union(equal).union(found)
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return texts(df, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
+def _key(id_col: str, text_col: str):
+    return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
 
 
-def cut(text: bytes, windows: list[dict] | None) -> tuple[bytes, int, int]:
-    """The text without what the windows cover, the number of bytes gone, and of their maximal runs."""
-    parts, at, gone, n = [], 0, 0, 0
-    for first, last in sorted((w["first"], w["last"] + LENGTH) for w in windows or ()):
-        if not n or first > at:
-            parts.append(text[at:first])
-            n += 1
-            gone += last - first
+def cut(text: bytes, windows: list[dict] | None, length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
+    """The text without what the windows cover, the number of bytes gone, and of their maximal runs; a run stays if it
+    holds fewer than ``least_words`` words."""
+    runs: list[list[int]] = []
+    for first, last in sorted((w["first"], w["last"] + length) for w in windows or ()):
+        if runs and first <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], last)
         else:
-            gone += max(0, last - at)
-        at = max(at, last)
+            runs.append([first, last])
+    if least_words:
+        runs = [r for r in runs if len(text[r[0]:r[1]].split()) >= least_words]
+    parts, at = [], 0
+    for first, last in runs:
+        parts.append(text[at:first])
+        at = last
     parts.append(text[at:])
-    return b"".join(parts), gone, n
+    return b"".join(parts), sum(b - a for a, b in runs), len(runs)
 
 
 def _with_windows(df: DataFrame, id_col: str, text_col: str, **limits) -> DataFrame:
-    docs = keyed(df, id_col, text_col)
-    windows = stored(repeated_windows(docs.select("key", "text"), **limits).groupBy("key").agg(
+    docs = texts(df, id_col, text_col).select(_key("doc_id", "text").alias("key"), "text")
+    windows = stored(repeated_windows(docs, **limits).groupBy("key").agg(
         F.collect_list(F.struct("first", "last")).alias("windows")), "windows")
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
-    return df.select(F.struct("*").alias("row"), key.alias("key")).join(windows, "key", "left").select("row", "windows")
+    return df.select(F.struct("*").alias("row"), _key(id_col, text_col).alias("key")).join(windows, "key", "left").select("row", "windows")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
@@ -176,7 +181,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches):
             texts_ = column_bytes(batch.column(1))
-            rows = [cut(t, w) for t, w in zip(texts_, batch.column(2).to_pylist())]
+            rows = [cut(t, w, limits.get("length", LENGTH)) for t, w in zip(texts_, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(map(len, texts_), pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                 pa.array([r[2] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.binary())],
@@ -186,9 +191,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", least_words: int = 0,
+              **limits) -> DataFrame:
     """All rows and columns, with what stays of each text in the text column and its code points in ``chars_col``.
 
+    Repeated runs of fewer than ``least_words`` words stay.
+
     Where a cut goes through a character, what is left of the character goes too.
     """
     names, schema = df.columns, df.schema
@@ -196,13 +204,13 @@ def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cha
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches):
             columns = dict(zip(names, batch.columns))
-            kept = [None if t is None else cut(t, w)[0].decode("utf-8", "ignore")
+            kept = [None if t is None else cut(t, w, limits.get("length", LENGTH), least_words)[0].decode("utf-8", "ignore")
                     for t, w in zip(column_bytes(columns[text_col]), batch.column(len(names)).to_pylist())]
             columns[text_col] = pa.array(kept, columns[text_col].type)
             if chars_col in columns:
                 columns[chars_col] = pa.array([len(t or "") for t in kept], columns[chars_col].type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
-    return _with_windows(df, id_col, text_col).select("row.*", "windows").mapInArrow(run, schema)
+    return _with_windows(df, id_col, text_col, **limits).select("row.*", "windows").mapInArrow(run, schema)
 
 
 def digests(df: DataFrame) -> DataFrame:

@@ -100,19 +100,18 @@ def maximal_segments(items: list[tuple[int, float]], drift: float) -> list[tuple
 
 
 class TokenScores(dict):
-    """Scores of tokens, each looked up once while it is among ``limit`` remembered ones; 0 without a feature."""
+    """Scores of tokens, 0 without a feature; the first ``limit`` different ones are remembered."""
 
-    def __init__(self, scores: dict[str, float], limit: int = 500_000):
+    def __init__(self, scores: dict[str, float], limit: int = 200_000):
         super().__init__()
         self.scores, self.limit = scores, limit
 
     def __missing__(self, token: str) -> float:
-        if len(self) >= self.limit:
-            self.clear()
         found = self.scores.get(token)
         if found is None:
             found = next((s for k in PREFIXES if len(token) > k and (s := self.scores.get(token[:k] + "*")) is not None), 0.0)
-        self[token] = found
+        if len(self) < self.limit and len(token) < 100:
+            self[token] = found
         return found
 
 

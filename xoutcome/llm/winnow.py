@@ -2,7 +2,7 @@
 
 Every window of ``LENGTH`` bytes has one anchor, the place of its leftmost ``GRAM``-byte string of least hash. Equal
 windows have equal strings at their anchors, at the same distance. Neighbouring windows with one anchor form a run,
-so that a text of n bytes has about n / 150 runs.
+so that a text of n bytes has about n / 150 runs. Both numbers are parameters; a shorter ``length`` makes more runs.
 """
 
 from __future__ import annotations
@@ -54,18 +54,18 @@ def sliding_argmin(hashes: np.ndarray, window: int) -> np.ndarray:
     return (np.minimum(back[:last], ahead[window - 1:window - 1 + last]) & _ROOM).astype(np.int64)
 
 
-def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+def pieces(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts side by side in buffers: (text number, buffer, where its part begins, that part's offset in the text, window starts)."""
     held, size = [], 0
 
     def joined():
         lengths = np.array([len(d) for _, _, d in held], np.int64)
         return (np.array([k for k, _, _ in held]), b"".join(d for _, _, d in held), np.cumsum(lengths) - lengths,
-                np.array([o for _, o, _ in held]), lengths - LENGTH + 1)
+                np.array([o for _, o, _ in held]), lengths - length + 1)
 
     for k, text in enumerate(texts):
         for at in range(0, len(text) - LENGTH + 1, PIECE):
-            part = text[at:at + PIECE + LENGTH - 1]
+            part = text[at:at + PIECE + length - 1]
             if held and size + len(part) > PIECE:
                 yield joined()
                 held, size = [], 0
@@ -75,14 +75,14 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, np.ndarray,
         yield joined()
 
 
-def runs(texts: list[bytes]) -> Iterator[tuple]:
+def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple]:
     """(buffer, text number, shift, first window, last window, anchor, anchor's hash) of all runs.
 
     Windows and anchors count in the buffer; adding the shift makes them count in the text.
     """
-    for number, data, begin, offset, starts in pieces(texts):
-        hashes = gram_hashes(np.frombuffer(data, np.uint8))
-        at = sliding_argmin(hashes, LENGTH - GRAM + 1)
+    for number, data, begin, offset, starts in pieces(texts, length):
+        hashes = gram_hashes(np.frombuffer(data, np.uint8), gram)
+        at = sliding_argmin(hashes, length - gram + 1)
         windows = ragged(begin, starts)
         part = np.repeat(np.arange(len(starts)), starts)
         anchor = at[windows]

@@ -25,17 +25,31 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class _Known(dict):
+    """The ids of words; the first ``limit`` different ones are remembered, which the frequent ones are among."""
+
+    def __init__(self, encoder: "WordEncoder"):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.encoder.word(word)
+        if len(self) < self.encoder.limit and len(word) < 100:
+            self[word] = found
+        return found
+
+
 class WordEncoder:
     """Ids of words, a word being a run without ASCII white space.
 
     The vocabulary's rules drop white space, so the ids of a text are those of its words in order. Most words are
     Latin-1 letters with ASCII marks behind them: those two parts go straight to the BPE model, once each; every
-    other word takes the library's whole way. At most ``limit`` parts stay in memory.
+    other word takes the library's whole way. The first ``limit`` parts and words stay in memory, but no very long ones.
     """
 
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -43,16 +57,16 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.parts: dict[str, bytes] = {}
-        self.known: dict[bytes, bytes] = {}
         self.limit = limit
+        self.known = _Known(self)
 
     def part(self, text: str) -> bytes:
         found = self.parts.get(text)
         if found is None:
-            if len(self.parts) >= self.limit:
-                self.parts.clear()
             tokens = self.model.tokenize("".join([self.letters[b] for b in text.encode()]))
-            found = self.parts[text] = np.array([t.id for t in tokens], "<u4").tobytes()
+            found = np.array([t.id for t in tokens], "<u4").tobytes()
+            if len(self.parts) < self.limit and len(text) < 100:
+                self.parts[text] = found
         return found
 
     def word(self, word: bytes) -> bytes:
@@ -67,17 +81,7 @@ class WordEncoder:
     def text(self, text: bytes) -> bytes:
         """The ids of a whole text."""
         known = self.known
-        words = text.split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) >= self.limit:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self.word(w)
-        return b"".join([known[w] for w in words])
+        return b"".join([known[w] for w in text.split()])
 
     def pieces(self) -> np.ndarray:
         """The piece of every id."""
