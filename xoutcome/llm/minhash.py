@@ -8,7 +8,7 @@ The path of a document:
    whose signatures agree in ``AGREE`` places at least are confirmed on the full sets, and the confirmed links give
    components. Then the same over all bands, with one member for each component in a bucket: a large group, which
    would have other stars in every band, is one component by then.
-   Further rounds do so with other members, drawn by hash, until a round brings no link (``ROUNDS`` at most).
+   There are ``ROUNDS`` such rounds, further ones with other members, drawn by hash.
 4. A bucket that still spans several components has members that were not compared. Only there, members of
    different components are compared by signature, in tiles of ``TILE`` x ``TILE`` inside tasks, which tell the members
    that have an agreeing one in another component, never the pairs. Tiles of these alone, with their full sets, confirm
@@ -42,7 +42,7 @@ ROWS, BANDS = 4, 32
 FIRST = 4
 AGREE = 72
 TILE = 512
-ROUNDS = 2
+ROUNDS = 1
 BROADCAST_IDS = 1_000_000
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())])
 
