@@ -145,12 +145,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similarity: tuple[int, int] = (
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """Members (band, doc_id, component) by tile: tile (i, j), i <= j, compares part i of a bucket with part j."""
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-    cut = members.join(sizes, "band").withColumn("parts", F.ceil(F.col("n") / TILE).cast("int")).withColumn(
-        "tile", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    return cut.select("band", "doc_id", "component", "tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
-        "band", "doc_id", "component", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+    """Members (band, doc_id, component) by tile (band, kind, i, j), with the part of the tile that they are in (``tile``).
+
+    Most members of a bucket that spans components are of one of them, its base, and need not meet each other. So parts of
+    the others meet parts of the base (kind 0) and each other (kind 1, i <= j): a base member is in as many tiles as the
+    others have parts.
+    """
+    sizes = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(
+        F.max(F.struct("n", (-F.col("component")).alias("least"))).alias("base"), F.sum("n").alias("n"))
+    parts = lambda n: F.ceil(n / TILE).cast("int")
+    cut = members.join(sizes.select("band", (-F.col("base.least")).alias("base"), parts(F.col("base.n")).alias("q"),
+                                    parts(F.col("n") - F.col("base.n")).alias("p")), "band")
+    other = F.col("component") != F.col("base")
+    own = F.pmod(F.xxhash64("doc_id"), F.when(other, F.col("p")).otherwise(F.col("q"))).cast("int")
+    cut = cut.select("band", "doc_id", "component", other.alias("other"), own.alias("own"), "p", "q")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    of_base = cut.where("not other").select("band", "doc_id", "component", F.lit(0).alias("kind"), F.lit(0).alias("tile"), every("p").alias("i"), F.col("own").alias("j"))
+    to_base = cut.where("other").select("band", "doc_id", "component", F.lit(0).alias("kind"), F.lit(1).alias("tile"), F.col("own").alias("i"), every("q").alias("j"))
+    among = cut.where("other").select("band", "doc_id", "component", F.lit(1).alias("kind"), F.col("own").alias("tile"), every("p").alias("at")).select(
+        "band", "doc_id", "component", "kind", "tile", F.least("tile", "at").alias("i"), F.greatest("tile", "at").alias("j"))
+    return of_base.union(to_base).union(among)
 
 
 def _spanning(bands: DataFrame, component: DataFrame) -> DataFrame:
@@ -164,7 +178,7 @@ def _spanning(bands: DataFrame, component: DataFrame) -> DataFrame:
 def _others(group: pd.DataFrame, sig: np.ndarray, k: int, component: np.ndarray) -> np.ndarray:
     """Places of the members after ``k`` that are of another part, if the tile has two, and another component, and agree."""
     other = component[k + 1:] != component[k]
-    if group["i"].iat[0] != group["j"].iat[0]:
+    if group["kind"].iat[0] == 0 or group["i"].iat[0] != group["j"].iat[0]:
         tile = group["tile"].to_numpy()
         other &= tile[k + 1:] != tile[k]
     at = k + 1 + np.flatnonzero(other)
@@ -181,7 +195,7 @@ def _met(members: DataFrame, signed: DataFrame) -> DataFrame:
             met[at] = True
             met[k] |= len(at) > 0
         return group.loc[met, ["band", "doc_id"]]
-    return _tiles(members).join(signed.select("doc_id", "sig"), "doc_id").groupBy("band", "i", "j").applyInPandas(run, "band long, doc_id long").distinct()
+    return _tiles(members).join(signed.select("doc_id", "sig"), "doc_id").groupBy("band", "kind", "i", "j").applyInPandas(run, "band long, doc_id long").distinct()
 
 
 def _joined(members: DataFrame, signed: DataFrame, docs: DataFrame, similarity: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -211,7 +225,7 @@ def _joined(members: DataFrame, signed: DataFrame, docs: DataFrame, similarity:
     ids = stored(members.select("doc_id").distinct(), "ids")
     own = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(sets, "doc_id long, set binary")
     rows = _tiles(members).join(signed.select("doc_id", "sig"), "doc_id").join(own, "doc_id")
-    return rows.groupBy("band", "i", "j").applyInPandas(run, "u long, v long").distinct()
+    return rows.groupBy("band", "kind", "i", "j").applyInPandas(run, "u long, v long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
