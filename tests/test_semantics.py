@@ -10,7 +10,7 @@ from xoutcome.functions import text, values
 from xoutcome.operators import evaluate, filters, profile
 from xoutcome.operators import windows as W
 from xoutcome.operators.aggregates import day_keys, segment_rollup
-from xoutcome.operators.models import DEPTH_LIMIT, param_grid
+from xoutcome.operators.models import DEPTH_LIMIT, fit_forest, param_grid
 from xoutcome.operators.rank import latest_season, temporal_split, top_n_per_cluster
 from xoutcome.plans.features import batter_features, pitcher_features
 
@@ -111,10 +111,14 @@ def test_top_n_skips_nulls(spark):
     assert {(r["cluster"], r["id"]) for r in rows} == {("cluster_0", 2), ("cluster_1", 2)}
 
 
-def test_param_grid_is_capped():
+def test_depth_limit_applies_to_the_growing_only(spark):
+    """All twelve depths stay apart in the grid; a tree of more than Spark grows gets the limit."""
     grid = param_grid()
-    assert max(s["maxDepth"] for s in grid) == DEPTH_LIMIT
-    assert len(grid) == 10 * 2 * 3 * 3 * 2
+    assert len(grid) == 10 * 2 * 12 * 3 * 2 and {s["maxDepth"] for s in grid} >= {10, 110, None}
+    rows = spark.createDataFrame([(float(i), float(i % 3)) for i in range(30)], "x double, y double")
+    for depth in (110, None, 7):
+        model = fit_forest(rows, ["x"], "y", numTrees=1, maxDepth=depth)
+        assert model.stages[1].getMaxDepth() == min(depth or DEPTH_LIMIT, DEPTH_LIMIT)
 
 
 def _days(spark, n=60, late=None):

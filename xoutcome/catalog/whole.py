@@ -176,7 +176,7 @@ def _(t: Tables):
 def _(t: Tables):
     """All stages over the raw events; each model's errors on both splits agree with each other as errors must."""
     kinds = ("batter", "pitcher", "matchup", "stacked", "combined")
-    settings = BuildSettings(min_games=1, min_rows=100, clusters=(3, 8), forests={kind: {"numTrees": 20} for kind in kinds})
+    settings = BuildSettings(min_games=1, min_rows=10, clusters=(3, 8), forests={kind: {"numTrees": 20} for kind in kinds})
     errors = fresh_build(t.raw_fx, fresh_path(t.spark, "build"), settings)["errors"]
     sound = (F.col("mae") >= 0) & (F.col("mse") >= F.col("mae") * F.col("mae") - 1e-9) & (F.col("wmae") >= 0)
     return errors.select("model", "split", sound.alias("sound"))
