@@ -108,3 +108,13 @@ def test_other_lengths_and_runs_of_few_words(spark):
     assert long not in got[1] and long not in got[2] and len(got[1]) < len(rows[0][1]) - len(long) + 3 and short in got[2] and got[3] == rows[2][1]
     both = {r.doc_id: r.text for r in suffixdedup.rewritten(df, length=180, gram=60).collect()}
     assert short not in both[2] and short not in both[3]
+
+
+@pytest.mark.parametrize("length", [8, 50, 180, 181, 400])
+def test_windows_of_any_length(length):
+    draw = random.Random(length)
+    shared = bytes(draw.choices(b"abcd", k=600))
+    parts = [shared[:300], shared[100:500], shared[200:], bytes(draw.choices(b"abcd", k=500)), shared[:length], shared[5:5 + length + 3]]
+    seen = Counter(x[s:s + length] for x in parts for s in range(len(x) - length + 1))
+    for found_, part in zip(suffixes.repeated(parts, length), parts):
+        assert sorted(found_.tolist()) == [s for s in range(len(part) - length + 1) if seen[part[s:s + length]] > 1]

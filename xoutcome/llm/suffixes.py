@@ -81,11 +81,11 @@ def suffix_order(text: bytes, depth: int) -> np.ndarray:
 
 
 def adjacent_equal(text: bytes, order: np.ndarray, length: int) -> np.ndarray:
-    """For neighbours in suffix order whether their common prefix has ``length`` bytes or more (length % 8 == 0)."""
+    """For neighbours in suffix order whether their common prefix has ``length`` bytes or more (8 at least)."""
     words = _words(text + bytes(length + 16), len(text) + length)
     left, right = order[:-1], order[1:]
     alive = np.arange(len(left))
-    for at in range(0, length, 8):
+    for at in sorted({*range(0, length - 7, 8), length - 8}):
         alive = alive[words[left[alive] + at] == words[right[alive] + at]]
         if not len(alive):
             break
