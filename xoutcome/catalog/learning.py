@@ -152,7 +152,7 @@ GROUP BY pitcher, game_year HAVING COUNT(*) >= 10""", ("raw_fx",))
 def _(t: Tables):
     """Each season of an entity, whether the centres rest on its rows, and whether the soft clusters rest on the centres."""
     rows = stored(_seasons(t), "seasons")
-    model, centers = learn_clusters(rows, min_rows=10)
+    model, centers = learn_clusters(rows, min_rows=10, mini=3, maxi=8, restarts=(3, 5))
     features = model.components.features
     reduced = stored(model.components.apply(model.scaler.apply(drop_null_rows(rows.select(*S.METRICS, "pitcher", "game_year", "pitch_type")))), "reduced")
     keys = ["pitcher", "game_year"]
@@ -169,7 +169,7 @@ THEN 1.0::DOUBLE END AS total FROM seasons""", ("raw_fx",))
 def _(t: Tables):
     rows = _seasons(t)
     holed = rows.withColumn("ax", F.when(F.col("at_bat_number") % 17 != 0, F.col("ax")))
-    model, _ = learn_clusters(rows, min_rows=10, mini=3, maxi=8)
+    model, _ = learn_clusters(rows, min_rows=10, mini=3, maxi=8, restarts=(3, 5))
     total = sum((F.col(c) for c in model.soft.columns[1:]), F.col(model.soft.columns[0]))
     return score_clusters(holed, model).select("at_bat_number", total.alias("total"))
 
