@@ -115,6 +115,23 @@ def test_fuzzy_centres_match_a_plain_loop(blobs):
     assert got == pytest.approx(np.array(sorted(map(tuple, c))), abs=1e-3)
 
 
+def test_fuzzy_centres_that_move_slowly_come_to_rest(spark):
+    """84 points without clear clusters: plain steps go on beyond 150 rounds, to the same centres."""
+    x = np.random.default_rng(4).normal(0, 1, (84, 4))
+    c, plain = x[:3].copy(), 0
+    for plain in range(1, 2001):
+        d = ((x[:, None] - c[None]) ** 2).sum(2)
+        u = np.where(d == 0, 1e12, 1 / np.where(d == 0, 1, d))
+        u = (u / u.sum(1, keepdims=True)) ** 2
+        last, c = c, u.T @ x / u.sum(0)[:, None]
+        if plain > 1 and np.abs(c - last).max() <= 1e-8:
+            break
+    points = spark.createDataFrame([(0, 0, *map(float, r)) for r in x], "gid long, _hash long, a double, b double, c double, d double").repartition(2)
+    models, _, states = C.fit_centers(points.cache(), X, {0: [x[:3].copy()]}, True, 150, 1e-8)
+    assert plain > 150 and states[0][0].converged and states[0][0].rounds < 150
+    assert models[0][0] == pytest.approx(c, abs=1e-5)
+
+
 def test_memberships(spark, blobs):
     soft = SoftClusters(X, CENTRES.tolist())
     rows = soft.membership(blobs).select("label", *soft.columns).collect()
