@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from xoutcome import schema as S
+from xoutcome.catalog import registered
+from xoutcome.catalog.base import Tables
 from xoutcome.functions import text, values
 from xoutcome.operators import evaluate, filters, profile
 from xoutcome.operators import windows as W
@@ -29,6 +31,16 @@ def test_hard_assign_ties_and_nulls(spark):
     assert rows == [(1, 1), (0, 1), (0, 0), (0, 1)]
 
 
+def test_rates_of_every_day(spark):
+    """The first day and days without earlier appearances stay, with no rate."""
+    rows = [(1, D(2024, 1, 1), 0, 0, 0), (1, D(2024, 1, 2), 2, 3, 1), (1, D(2024, 1, 3), 1, 4, 0), (2, D(2024, 1, 3), 1, 1, 0)]
+    days = spark.createDataFrame(rows, "pitcher int, game_date date, k long, pa long, bb long")
+    got = W.hard_per_pa(days, ["k"]).orderBy("pitcher", "game_date").collect()
+    assert [tuple(r) for r in got] == [(1, D(2024, 1, 1), None), (1, D(2024, 1, 2), None), (1, D(2024, 1, 3), 0.5), (2, D(2024, 1, 3), None)]
+    query = registered()["cluster_rate_per_pa"].run(spark, "/root/testdata/sf0.001")
+    assert query.count() == Tables(spark, "/root/testdata/sf0.001").day_fx.count()
+
+
 def test_duplicate_pair_repeats_rows(spark):
     df = spark.createDataFrame([(1, 2020, "x"), (2, 2020, "y")], "pitcher int, game_year int, v string")
     pairs = spark.createDataFrame([(1, 2020), (1, 2020)], "a int, b int")

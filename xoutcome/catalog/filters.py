@@ -8,7 +8,7 @@ from xoutcome import schema as S
 from xoutcome.catalog.base import Tables, query, quoted, r6, r6s
 from xoutcome.functions import text, values
 from xoutcome.operators import filters
-from xoutcome.operators.windows import rolling_hard
+from xoutcome.operators.windows import hard_per_pa
 from xoutcome.plans import clean
 from xoutcome.plans.features import cast_types, rate_per_pa
 
@@ -349,9 +349,9 @@ def _(t: Tables):
 WITH d AS (SELECT pitcher, game_date, k, pa, bb FROM day_fx),
 r AS (SELECT pitcher, game_date, SUM(k) OVER w AS k_roll, SUM(pa + bb) OVER w AS base FROM d
   WINDOW w AS (PARTITION BY pitcher ORDER BY game_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
-SELECT pitcher, game_date, {r6('k_roll / base', 'k_roll_per_pa')} FROM r WHERE base <> 0""", ("day_fx",))
+SELECT pitcher, game_date, {r6('k_roll / base', 'k_roll_per_pa')} FROM r""", ("day_fx",))
 def _(t: Tables):
-    return rolling_hard(t.day_fx, ["k"], needed=1)
+    return hard_per_pa(t.day_fx, ["k"])
 
 
 @query("cast_types", f"SELECT pitcher, game_date, CAST(pa AS INTEGER) AS pa, CAST(bb AS DOUBLE) AS bb, {r6s('xba')} "
