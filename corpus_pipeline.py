@@ -15,7 +15,8 @@ from xoutcome.llm.common import table, without_ids
 from xoutcome.session import stored
 
 ROW = "_row"
-PASSAGE_BYTES = 180
+PASSAGE_WORDS = 51
+PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1  # so many words of one byte each with a space between
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +52,9 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents less the passages of more than 50 words that stand elsewhere too.
 
-    Fifty-one words have ``PASSAGE_BYTES`` bytes and more, down to two and a half letters a word.
+    No such passage has less than ``PASSAGE_BYTES`` bytes, and all strings of that length are compared.
     """
-    return suffixdedup.rewritten(_named(docs), ROW, least_words=51, length=PASSAGE_BYTES, gram=PASSAGE_BYTES // 3).drop(ROW)
+    return suffixdedup.rewritten(_named(docs), ROW, least_words=PASSAGE_WORDS, length=PASSAGE_BYTES, gram=PASSAGE_BYTES // 4).drop(ROW)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

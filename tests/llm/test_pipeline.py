@@ -78,3 +78,18 @@ def test_repeated_rows_and_rows_without_id(spark, small, odd_docs):
         [k for k in kept if k[0] != 5] + [(20, twice), (None, lost), (21, under_two), (21, other)], key=str)
     last = corpus_pipeline.encode(spark, rows, small)
     assert last.count() == rows.count()
+
+
+def test_passages_of_short_words_and_in_short_texts(spark, odd_docs):
+    """Passages of 51 words go whatever their bytes and the size of their texts; 50 words stay."""
+    draw = np.random.default_rng(11)
+
+    def prose(n, letters):
+        return " ".join("".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), draw.integers(1, letters + 1))) for _ in range(n))
+    least, brief, fifty = prose(51, 1), prose(51, 6), prose(50, 6)
+    rows = [(30, f"{prose(90, 9)} 1 {least} 2 {prose(90, 9)}", 1), (31, f"{prose(90, 9)} 3 {least} 4 {prose(60, 9)}", 1), (32, f"5{brief}6", 1),
+            (33, f"7{brief}8", 1), (34, f"9{fifty}0", 1), (35, f"8{fifty}1", 1)]
+    assert len(least) == 101 and len(brief) < 390
+    got = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, spark.createDataFrame(rows, odd_docs.schema), "").collect()}
+    assert got[30] == rows[0][1].replace(f" {least} ", "") and got[31] == rows[1][1].replace(f" {least} ", "")
+    assert (got[32], got[33], got[34], got[35]) == ("56", "78", rows[4][1], rows[5][1])

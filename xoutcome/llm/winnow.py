@@ -64,7 +64,7 @@ def pieces(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[np.ndarra
                 np.array([o for _, o, _ in held]), lengths - length + 1)
 
     for k, text in enumerate(texts):
-        for at in range(0, len(text) - LENGTH + 1, PIECE):
+        for at in range(0, len(text) - length + 1, PIECE):
             part = text[at:at + PIECE + length - 1]
             if held and size + len(part) > PIECE:
                 yield joined()
