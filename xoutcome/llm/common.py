@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 16 << 20  # text bytes that one task handles at a time
-BATCH_BYTES = 16 << 20  # bytes of an Arrow batch
+BATCH_BYTES = 4 << 20  # bytes of an Arrow batch
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -16,7 +16,7 @@ from xoutcome.llm.shingles import mixed
 
 LENGTH = 400
 GRAM = 100
-PIECE = 2 << 20  # window starts that are handled at a time
+PIECE = 1 << 18  # window starts that are handled at a time; each takes some 80 bytes meanwhile
 _BASE = 0x2545F4914F6CDD1D
 _ROOM = np.uint64((1 << 24) - 1)  # low bits that hold a position
 
