@@ -35,10 +35,10 @@ FIELDS = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.i
 def to_planes(ids: np.ndarray) -> list[bytes]:
     """The bit planes of 32-bit ids from the highest set bit of the block down to bit 0, each one compressed."""
     top = int(ids.max()).bit_length() if len(ids) else 0
-    low = ids.astype(">u4").view(np.uint8).reshape(-1, 4)
-    bits = np.unpackbits(np.ascontiguousarray(low.T), axis=1).reshape(4, -1, 8)
+    low = np.ascontiguousarray(ids.astype("<u4")).view(np.uint8).reshape(-1, 4)
     press = zstandard.ZstdCompressor(level=1).compress
-    return [press(np.packbits(bits[3 - b // 8, :, 7 - b % 8]).tobytes()) for b in range(top - 1, -1, -1)]
+    bits = [np.unpackbits(np.ascontiguousarray(low[:, i])).reshape(-1, 8).T for i in range(-(-top // 8))]
+    return [press(np.packbits(bits[b // 8][7 - b % 8]).tobytes()) for b in range(top - 1, -1, -1)]
 
 
 def from_planes(planes: list[bytes], n: int) -> np.ndarray:
