@@ -76,3 +76,18 @@ def test_skewed_weights(spark):
     for kind in range(3):
         error = np.array([got[i] - jaccard(*p) for i, (k, p) in enumerate(pairs) if k == kind])
         assert abs(error.mean()) < 0.04 and np.abs(error).max() < 0.3, kind
+
+
+def test_texts_are_shuffled_once(spark, small, monkeypatch):
+    plans, real = {}, P.stored
+
+    def told(df, name):
+        out = real(df, name)
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return out
+    monkeypatch.setattr(P, "stored", told)
+    QUERIES["op4_weighted_sampling"](spark, small)
+    lines = [x.strip(" :+-|") for x in plans["fingerprints"].splitlines()]
+    below = [lines[i + 1:] for i, x in enumerate(lines) if x.startswith("RepartitionByExpression")]
+    shapes = {tuple(x.split(" ")[0] for x in part[:part.index(next(y for y in part if y.startswith("Relation"))) + 1]) for part in below}
+    assert len(below) == 2 and len(shapes) == 1, shapes  # both sides alike, so that Spark reuses the exchange

@@ -122,7 +122,9 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = texts(df, id_col, text_col)
     parts = PARTS * shuffle_partitions(df.sparkSession)
     cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]  # parts - 1 numbers
-    blocked = docs.withColumn("block", _block(sorted(set(cuts or []))).cast("long")).withColumn("tie", F.xxhash64("text"))
+    # Never null, or else the join below filters one of its sides before the shuffle and the texts are shuffled twice.
+    block = F.coalesce(_block(sorted(set(cuts or []))), F.lit(0)).cast("long")
+    blocked = docs.withColumn("block", block).withColumn("tie", F.xxhash64("text"))
     order = [F.col("doc_id").asc_nulls_first(), "tie"]
     rows = with_next(blocked.repartition(parts, "block"), "text", order, blocked)
     n = F.length("text")
@@ -130,12 +132,14 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next"), F.lit(1), half)))
     rows = rows.withColumn("row", F.row_number().over(Window.partitionBy("block").orderBy(*order)))
     keys = ["block", "row"]
-    told = rows.select(*keys, "doc_id", "tie", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    told = rows.select(*keys, "doc_id", "tie", n.cast("long").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("edited_sha256"))
     none = F.lit("0" * (SAMPLES * BITS // 4))
     made = stored(told.join(sampled(rows.select(*keys, "text", "edited"), keys, ["text", "edited"]), keys, "left").select(
-        *keys, "doc_id", "tie", "n_chars", "edited_sha256", F.coalesce("fp_text", none).alias("fingerprint"),
-        F.coalesce("fp_edited", none).alias("edited_fingerprint")), "fingerprints")
+        *keys, "doc_id", "tie", "n_chars", "edited_sha256", F.unhex(F.coalesce("fp_text", none)).alias("fingerprint"),
+        F.unhex(F.coalesce("fp_edited", none)).alias("edited_fingerprint")), "fingerprints")  # bytes: half as large as their digits
     return with_next(made, "fingerprint", order).select(
+        "doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        *[F.hex(c).alias(c) for c in ("fingerprint", "edited_fingerprint", "next")]).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next")).alias("near_next"))
