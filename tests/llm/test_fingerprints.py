@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from xoutcome.llm import fingerprints as P
 from xoutcome.llm.queries import QUERIES
@@ -91,3 +92,18 @@ def test_texts_are_shuffled_once(spark, small, monkeypatch):
     below = [lines[i + 1:] for i, x in enumerate(lines) if x.startswith("RepartitionByExpression")]
     shapes = {tuple(x.split(" ")[0] for x in part[:part.index(next(y for y in part if y.startswith("Relation"))) + 1]) for part in below}
     assert len(below) == 2 and len(shapes) == 1, shapes  # both sides alike, so that Spark reuses the exchange
+
+
+def test_a_term_makes_few_rows_and_is_hashed_once_in_each(spark):
+    """A search for its group by each row, and hashes over term and numbers for each draw, were over the CPU budget."""
+    made = P.sampled(spark.createDataFrame([(1, "a b b")], "block long, x string").repartition("block"), ["block"], ["x"])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(term") == 1 and "explode([0,1,2,3,4,5,6,7])" in plan, plan
+
+
+def test_draws_are_independent_and_uniform(spark):
+    """Gamma(2, 1) and uniform draws of all samples of a row, by their means, and by each pair's correlation."""
+    rows = spark.range(4000).select(F.xxhash64("id").alias("hash"))
+    draws = np.array(rows.select(*[u for i in range(3 * P._IN_ROW) for u in P._uniforms(F.col("hash"), i)]).collect())
+    assert np.abs(draws.mean(axis=0) - 0.5).max() < 0.025 and np.abs(draws.var(axis=0) - 1 / 12).max() < 0.008
+    assert np.abs(np.corrcoef(draws.T) - np.eye(draws.shape[1])).max() < 0.09

@@ -33,16 +33,23 @@ SAMPLES = 64
 BITS = 16
 _PER_LONG = 64 // BITS
 _LONGS = SAMPLES // _PER_LONG
+_IN_ROW = 8  # samples of a term that one row makes
+_STEP = 0x9E3779B97F4A7C15
 PARTS = 4  # blocks per shuffle partition
 
 
-def _uniforms(at: Column, seed: int) -> tuple[Column, Column]:
-    """Two numbers in (0, 1) by hashing the term."""
-    bits = F.xxhash64("term", at, F.lit(seed))
+def _uniforms(at: Column, number: int) -> tuple[Column, Column]:
+    """Two numbers in (0, 1) by hashing ``at``, a hash of the term, together with the number of the draw."""
+    bits = F.xxhash64(at.bitwiseXOR(F.lit(_signed((number + 1) * _STEP))))
     return tuple((half.cast("double") + 0.5) * F.lit(2.0 ** -32) for half in (
         F.shiftrightunsigned(bits, 32), bits.bitwiseAND(F.lit(0xFFFFFFFF))))
 
 
+def _signed(number: int) -> int:
+    """The low 64 bits as a signed number."""
+    return ((number + (1 << 63)) & ((1 << 64) - 1)) - (1 << 63)
+
+
 def log_a(log_weight: Column, at: Column, sample: int) -> Column:
     (u1, u2), (u3, u4), (b, _) = (_uniforms(at, 3 * sample + i) for i in range(3))
     r, c = -F.log(u1 * u2), -F.log(u3 * u4)
@@ -52,21 +59,24 @@ def log_a(log_weight: Column, at: Column, sample: int) -> Column:
 def sampled(rows: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """The fingerprints of the text columns ``names``, in fixed-width aggregates over the rows' own partitioning.
 
-    A term is handled once for each long of the fingerprint: one aggregate for all samples would be a method too large
-    for the compiler.
+    A term is handled once for each ``_IN_ROW`` samples: one aggregate for all samples would be a method too large for
+    the compiler, and each row more costs a search for its group. Term and row are hashed once, and each draw hashes
+    that one number.
     """
     picked = rows.select(*keys, F.posexplode(F.array(*names)).alias("which", "text")).select(
         *keys, "which", F.explode_outer(words(F.col("text"))).alias("word")).where("word is not null")
     terms = picked.groupBy(*keys, "which", F.xxhash64("word").alias("term")).agg(F.count(F.lit(1)).alias("w"))
     dealt = terms.select(*keys, "which", "term", F.log(F.col("w").cast("double")).alias("log_w"),
-                         F.explode(F.array(*map(F.lit, range(_LONGS)))).alias("at"))
+                         F.explode(F.array(*map(F.lit, range(SAMPLES // _IN_ROW)))).alias("at"))
+    dealt = dealt.select(*keys, "which", "log_w", "at", F.xxhash64("term", "at").alias("hash"))
     least = dealt.groupBy(*keys, "which", "at").agg(
-        *[F.min(log_a(F.col("log_w"), F.col("at"), i)).alias(f"a{i}") for i in range(_PER_LONG)])
-    codes = [F.lit(1) + F.pmod(F.xxhash64(f"a{i}"), F.lit((1 << BITS) - 1)) for i in range(_PER_LONG)]
-    placed = least.select(*keys, "which", "at", reduce(
-        Column.bitwiseOR, [F.shiftleft(c, (_PER_LONG - 1 - i) * BITS) for i, c in enumerate(codes)]).alias("code"))
+        *[F.min(log_a(F.col("log_w"), F.col("hash"), i)).alias(f"a{i}") for i in range(_IN_ROW)])
+    codes = [F.lit(1) + F.pmod(F.xxhash64(f"a{i}"), F.lit((1 << BITS) - 1)) for i in range(_IN_ROW)]
+    placed = least.select(*keys, "which", "at", *[reduce(Column.bitwiseOR, [
+        F.shiftleft(c, (_PER_LONG - 1 - i) * BITS) for i, c in enumerate(codes[j * _PER_LONG:(j + 1) * _PER_LONG])]).alias(f"code{j}")
+        for j in range(_IN_ROW // _PER_LONG)])
     longs = placed.groupBy(*keys).agg(*[
-        F.bit_or(F.when((F.col("which") == k) & (F.col("at") == i), F.col("code"))).alias(f"l{k}_{i}")
+        F.bit_or(F.when((F.col("which") == k) & (F.col("at") == i * _PER_LONG // _IN_ROW), F.col(f"code{i % (_IN_ROW // _PER_LONG)}"))).alias(f"l{k}_{i}")
         for k in range(len(names)) for i in range(_LONGS)])
     width = 16
     return longs.select(*keys, *[F.concat(*[F.lpad(F.hex(F.coalesce(f"l{k}_{i}", F.lit(0).cast("long"))), width, "0") for i in range(_LONGS)]).alias(
