@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from xoutcome.llm import binary, bpe
+from xoutcome.llm import words as W
 from xoutcome.llm.common import pack, ragged, unpack
 from xoutcome.llm.queries import QUERIES
 from xoutcome.llm.words import vocabulary_path
@@ -82,3 +83,27 @@ def test_planes_and_packs_round_trip(values):
 
 def test_ragged_positions():
     assert ragged(np.array([5, 0, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
+
+
+def test_workers_keep_few_parts_of_distinct_words(tokenizer, monkeypatch):
+    """A worker that lives on holds no more than a small cache of a group's words, and encodes those beyond it alike."""
+    import pandas as pd
+    import zstandard
+    made = []
+    monkeypatch.setattr(bpe, "encoder", lambda *a: made.append(W.encoder.__wrapped__(*a)) or made[-1])
+    words = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(30_000)]
+    group = pd.DataFrame({"block": ["b"], "bucket": [0], "payload": [zstandard.ZstdCompressor().compress("\n".join(words).encode())]})
+    seen = {}
+
+    class Words:
+        def groupBy(self, *_):
+            return self
+
+        def applyInPandas(self, run, _):
+            seen["out"] = run(group)
+    bpe.encode_words(Words(), vocabulary_path())
+    assert len(made[0].parts) <= 20_000
+    data = seen["out"]["payload"][0]
+    size, width = np.frombuffer(data[:8], "<u4").tolist()
+    ids = unpack(data[8 + size:], np.uint16 if width == 2 else np.uint32)
+    assert unpack(data[8:8 + size], np.uint32).sum() == len(ids) and ids.tolist() == encoded(tokenizer, " ".join(words))

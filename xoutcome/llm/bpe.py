@@ -30,6 +30,7 @@ from xoutcome.llm.common import blocks, pack, ragged, shuffle_partitions, texts,
 from xoutcome.llm.words import encoder, vocabulary_path
 
 BLOCK_BYTES = 8 << 20
+PARTS_KEPT = 20_000  # parts of words that a worker remembers; few come again, as each distinct word is encoded once
 NO_ID = -(1 << 63)  # stands for a null id inside packed rows
 NUMBERED = "block string, doc_ids array<long>, n_words array<long>, payload binary, buckets binary"
 ENCODED = "block string, bucket int, payload binary"
@@ -88,7 +89,7 @@ def word_numbers(docs: DataFrame, buckets: int) -> DataFrame:
 def encode_words(words: DataFrame, path: str) -> DataFrame:
     """For each block and bucket the ids of its words: lengths, then ids. A distinct word is encoded once."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        code = encoder(path)
+        code = encoder(path, PARTS_KEPT)
         ids: dict[bytes, bytes] = {}
         out = []
         for data in group["payload"]:
@@ -121,7 +122,7 @@ def join_ids(numbered: DataFrame, encoded: DataFrame, path: str, decoded: bool =
             flats.append(unpack(data[8 + size:], np.uint16 if width == 2 else np.uint32).astype("<u4"))
         by_bucket = np.concatenate(lengths).astype(np.int64) if lengths else np.empty(0, np.int64)
         flat = np.concatenate(flats) if flats else np.empty(0, "<u4")
-        pieces = encoder(path).pieces() if decoded else None
+        pieces = encoder(path, PARTS_KEPT).pieces() if decoded else None
         rows = []
         for doc_ids, counts, payload, buckets in zip(left["doc_ids"], left["n_words"], left["payload"], left["buckets"]):
             order = np.argsort(unpack(buckets, np.uint32), kind="stable")
