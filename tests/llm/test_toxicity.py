@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from xoutcome.llm import toxicity as T
@@ -72,3 +73,13 @@ def test_one_word_does_not_speak_for_its_first_letters(spark):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, toxic int")
     model = T.fit(df.select("doc_id", "text"), labels)
     assert all((r.score >= 0.5) == (r.doc_id < 240 and r.doc_id % 3 == 0) for r in T.score(df, model).collect())
+
+
+@pytest.mark.parametrize("last_clean", range(13))
+def test_curve_of_kinds_that_evidence_tells_apart(last_clean):
+    """Whole Newton steps threw the curve to a slope of 0 for some of these, so that no text was predicted toxic."""
+    x = np.arange(90.0)
+    n = np.where(x == 0, 14_000.0, 12.0)
+    base, slope = T._logistic(x, n, np.where(x > last_clean, n, 0.0))
+    predicted = base + slope * x >= 0
+    assert (predicted == (x > last_clean)).all()

@@ -251,14 +251,28 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 
 def _logistic(x: np.ndarray, n: np.ndarray, k: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Base and slope of a logistic curve for counts k of n, by Newton steps with a light ridge on the slope."""
+    """Base and slope of a logistic curve for counts k of n, by Newton steps with a light ridge on the slope.
+
+    The loss is convex, but where evidence tells the kinds apart a whole step may throw the curve to its flat ends and
+    never come back. So a step is halved until the loss falls.
+    """
     w = np.array([math.log((k.sum() + PRIOR) / (n.sum() - k.sum() + PRIOR)), 0.0])
     design = np.column_stack([np.ones_like(x), x])
-    for _ in range(50):
+
+    def loss(w: np.ndarray) -> float:
+        at = design @ w
+        return float((n * np.logaddexp(0, at) - k * at).sum() + ridge / 2 * w[1] ** 2)
+    least = loss(w)
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -40, 40)))
         gradient = design.T @ (k - n * p) - np.array([0, ridge]) * w
         curve = (design * (n * p * (1 - p))[:, None]).T @ design + np.diag([1e-6, ridge])
-        w = w + np.clip(np.linalg.solve(curve, gradient), -2, 2)
+        step = np.linalg.solve(curve, gradient)
+        while (now := loss(w + step)) >= least and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if now >= least:
+            break
+        w, least = w + step, now
     return float(w[0]), float(max(0.0, w[1]))
 
 
