@@ -17,6 +17,7 @@ from xoutcome.session import stored
 ROW = "_row"
 PASSAGE_WORDS = 51
 PASSAGE_BYTES = 2 * PASSAGE_WORDS - 1  # so many words of one byte each with a space between
+BLOCK_BYTES = 2 << 20  # of text in a block of the last stage, whose workers are the largest
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +67,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of ids, and digests of ids and decoded text."""
-    return bpe.digests(docs)
+    return bpe.digests(docs, block_bytes=BLOCK_BYTES)
 
 
 STAGES = [("toxicity", reject_toxic), ("near_dedup", one_of_each_class), ("suffix_dedup", cut_repeats),

@@ -9,7 +9,8 @@ import corpus_pipeline
 from tests.llm.test_containment import shingles
 from tests.llm.test_minhash import brute as classes
 from tests.llm.test_suffixes import Counter
-from xoutcome.llm import toxicity
+from xoutcome.llm import bpe, toxicity
+from xoutcome.llm.common import texts
 from xoutcome.llm.words import vocabulary_path
 
 
@@ -93,3 +94,18 @@ def test_passages_of_short_words_and_in_short_texts(spark, odd_docs):
     got = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, spark.createDataFrame(rows, odd_docs.schema), "").collect()}
     assert got[30] == rows[0][1].replace(f" {least} ", "") and got[31] == rows[1][1].replace(f" {least} ", "")
     assert (got[32], got[33], got[34], got[35]) == ("56", "78", rows[4][1], rows[5][1])
+
+
+def test_last_stage_takes_small_blocks(spark, odd_docs, monkeypatch):
+    """Fewer bytes of text at a time, whatever the batches, and the same ids."""
+    draw = np.random.default_rng(12)
+    rows = [(40 + i, " ".join(f"w{n}" for n in draw.integers(0, 10**6, 100_000)), 1) for i in range(6)]
+    docs = odd_docs.union(spark.createDataFrame(rows, odd_docs.schema)).coalesce(1)
+    sizes = bpe.word_numbers(texts(docs), 4, corpus_pipeline.BLOCK_BYTES).collect()
+    length = {r.doc_id: len((r.text or "").encode()) for r in docs.where("doc_id is not null and doc_id <> 6").collect()}
+    assert len(sizes) >= 3 and all(sum(length.get(i, 0) for i in r.doc_ids) <= corpus_pipeline.BLOCK_BYTES for r in sizes)
+    got, asked = [], []
+    monkeypatch.setattr(bpe, "word_lists", lambda *a, f=bpe.word_lists: asked.append(a[2]) or f(*a))
+    for query in (lambda: corpus_pipeline.encode(spark, docs, ""), lambda: bpe.digests(docs)):
+        got.append(sorted(query().collect(), key=str))
+    assert got[0] == got[1] and len(got[0]) == 6 + odd_docs.count() and asked[0] == corpus_pipeline.BLOCK_BYTES < asked[1]

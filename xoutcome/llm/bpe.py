@@ -55,11 +55,11 @@ def _block(held: list[bytes]) -> tuple[str, list[bytes], list[int], np.ndarray]:
     return name.hexdigest(), [words[i] for i in order.tolist()], counts, rank[flat]
 
 
-def word_lists(docs: DataFrame, buckets: int) -> DataFrame:
+def word_lists(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(block, bucket, payload): the distinct words of every block, by bucket of the word's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=6).compress
-        for _, held in blocks(batches, BLOCK_BYTES):
+        for _, held in blocks(batches, block_bytes):
             block, words, _, _ = _block(held)
             by: dict[int, list[bytes]] = {}
             for w in words:
@@ -70,13 +70,13 @@ def word_lists(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, ENCODED)
 
 
-def word_numbers(docs: DataFrame, buckets: int) -> DataFrame:
+def word_numbers(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per block: its documents, their numbers of words, and the places of their words in the block's ids.
 
     Words are counted as ``encode_words`` returns them: bucket by bucket, each bucket in the order of its list.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, held in blocks(batches, BLOCK_BYTES):
+        for ids, held in blocks(batches, block_bytes):
             block, words, counts, codes = _block(held)
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.uint32, len(words))
             yield pa.RecordBatch.from_arrays([
@@ -142,15 +142,16 @@ def join_ids(numbered: DataFrame, encoded: DataFrame, path: str, decoded: bool =
 
 
 def bpe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, decoded: bool = True,
-        buckets: int | None = None) -> DataFrame:
+        buckets: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Ids (little-endian unsigned 32-bit) and decoded text (UTF-8) of every row.
 
     ``buckets`` is the number of parts of the word table; the default is the session's number of shuffle partitions.
+    Smaller blocks (``block_bytes`` of text) take less memory in a task and list a word in more blocks; ids are the same.
     """
     path, buckets, docs = path or vocabulary_path(), buckets or shuffle_partitions(df.sparkSession), texts(df, id_col, text_col)
-    return join_ids(word_numbers(docs, buckets), encode_words(word_lists(docs, buckets), path), path, decoded)
+    return join_ids(word_numbers(docs, buckets, block_bytes), encode_words(word_lists(docs, buckets, block_bytes), path), path, decoded)
 
 
-def digests(df: DataFrame) -> DataFrame:
+def digests(df: DataFrame, **limits) -> DataFrame:
     """The digest columns of the registered query."""
-    return bpe(df).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe(df, **limits).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -35,7 +35,7 @@ class _Hashes(dict):
 class Shingler:
     """Hashes of word shingles."""
 
-    def __init__(self, size: int = SHINGLE_WORDS, limit: int = 200_000):
+    def __init__(self, size: int = SHINGLE_WORDS, limit: int = 50_000):
         self.size = size
         self.known = _Hashes(limit)
 

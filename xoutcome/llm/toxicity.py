@@ -102,7 +102,7 @@ def maximal_segments(items: list[tuple[int, float]], drift: float) -> list[tuple
 class TokenScores(dict):
     """Scores of tokens, 0 without a feature; the first ``limit`` different ones are remembered."""
 
-    def __init__(self, scores: dict[str, float], limit: int = 200_000):
+    def __init__(self, scores: dict[str, float], limit: int = 50_000):
         super().__init__()
         self.scores, self.limit = scores, limit
 
