@@ -118,3 +118,22 @@ def test_windows_of_any_length(length):
     seen = Counter(x[s:s + length] for x in parts for s in range(len(x) - length + 1))
     for found_, part in zip(suffixes.repeated(parts, length), parts):
         assert sorted(found_.tolist()) == [s for s in range(len(part) - length + 1) if seen[part[s:s + length]] > 1]
+
+
+def test_passages_shorter_than_the_removed_strings(spark):
+    """51 repeated words are told by columns of their own, and strings of 400 bytes go as before."""
+    draw = random.Random(13)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(1, 7))) for _ in range(n))
+    passage, fifty, long = prose(51), prose(50), prose(130)
+    rows = [(1, f"{prose(80)} 1{passage}2 {prose(30)}"), (2, f"3{passage}4"), (3, f"{prose(9)} 5{fifty}6"), (4, f"7{fifty}8 {prose(90)}"),
+            (5, f"{prose(40)} 9{long}0 {prose(5)} -{passage}+"), (6, f"2{long}4"), (7, prose(200)), (8, None), (9, f"{long}{long}"), (None, f"5{passage}7"),
+            (10, "ö" * 900), (11, "x" + "ö" * 300 + prose(60)), (12, prose(300)), (12, "")]
+    rows.append(rows[-2])
+    assert len(passage) < 390 and len(long) > 420
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(suffixdedup.digests(df)) == brute(rows)
+    got = [(r.doc_id, r.n_passages, r.n_passage_bytes) for r in suffixdedup.digests(df).collect()]
+    n, m = len(passage), len(long)
+    whole = len(rows[-1][1])
+    assert sorted(got, key=str) == sorted([(1, 1, n), (2, 1, n), (3, 0, 0), (4, 0, 0), (5, 2, n + m), (6, 1, m), (7, 0, 0), (8, 0, 0), (9, 1, 2 * m),
+                                           (None, 1, n), (10, 0, 0), (11, 0, 0), (12, 1, whole), (12, 1, whole), (12, 0, 0)], key=str)

@@ -16,6 +16,11 @@ Equality of whole runs is judged under equal 64-bit anchors by another 64-bit ha
 empty. Rows are told apart by a 64-bit hash of id and text, so that unlike texts under one id, or without one, are judged
 each for itself; rows that repeat both count as two texts. Other columns are left behind. An empty table gives no rows.
 ``length`` and ``gram`` are parameters of all steps; ``rewritten`` can leave runs of few words alone.
+
+With ``passage_words`` texts are also told by the passages of so many words that stand elsewhere too, most of which are
+shorter than ``LENGTH``. All strings of 2 * words - 1 bytes, the least that so many words have, are compared. A repeated
+string of ``LENGTH`` bytes is made of repeated shorter ones, so that it can only be in the spans that these cover: the
+long strings are then looked for in those spans alone, with the same result.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from xoutcome.llm.suffixes import repeated
 from xoutcome.session import stored
 
 LENGTH = winnow.LENGTH
+PASSAGE_WORDS = 51
 BUCKET_BYTES = 1 << 20
 HOT_BYTES = 8 << 20
 BROADCAST_IDS = 1_000_000
@@ -150,15 +156,21 @@ def _key(id_col: str, text_col: str):
     return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
 
 
-def cut(text: bytes, windows: list[dict] | None, length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
-    """The text without what the windows cover, the number of bytes gone, and of their maximal runs; a run stays if it
-    holds fewer than ``least_words`` words."""
+def covered(windows: list[dict] | None, length: int) -> list[list[int]]:
+    """Begin and end of the maximal runs of bytes that the windows cover."""
     runs: list[list[int]] = []
     for first, last in sorted((w["first"], w["last"] + length) for w in windows or ()):
         if runs and first <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], last)
         else:
             runs.append([first, last])
+    return runs
+
+
+def cut(text: bytes, windows: list[dict] | None, length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
+    """The text without what the windows cover, the number of bytes gone, and of their maximal runs; a run stays if it
+    holds fewer than ``least_words`` words."""
+    runs = covered(windows, length)
     if least_words:
         runs = [r for r in runs if len(text[r[0]:r[1]].split()) >= least_words]
     parts, at = [], 0
@@ -169,26 +181,79 @@ def cut(text: bytes, windows: list[dict] | None, length: int = LENGTH, least_wor
     return b"".join(parts), sum(b - a for a, b in runs), len(runs)
 
 
-def _with_windows(df: DataFrame, id_col: str, text_col: str, **limits) -> DataFrame:
+def _by_key(windows: DataFrame) -> DataFrame:
+    return windows.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("windows"))
+
+
+def passages(docs: DataFrame, words: int, least: int) -> DataFrame:
+    """(key, n_passages, n_passage_bytes, parts) of the texts with repeated strings of 2 * words - 1 bytes.
+
+    A passage is a maximal run of bytes that those strings cover, with ``words`` words or more. ``parts`` are the runs of
+    ``least`` bytes or more, whatever their words. Rows that repeat are there repeatedly.
+    """
+    length = 2 * words - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batched(batches, 200):
+            rows = []
+            for text, key, windows in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                runs = covered(windows, length)
+                sizes = [b - a for a, b in runs if len(text[a:b].split()) >= words]
+                rows.append({"key": key, "n_passages": len(sizes), "n_passage_bytes": sum(sizes),
+                             "parts": [{"first": a, "data": text[a:b]} for a, b in runs if b - a >= least]})
+            yield pa.RecordBatch.from_pylist(rows, schema=_PASSAGES)
+    found = stored(_by_key(repeated_windows(docs, length=length, gram=length // 4)), "short-windows")
+    few = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS  # 8 MB of ids at most; else shuffled
+    own = docs.join(F.broadcast(found.select("key")), "key", "left_semi") if few else docs
+    return own.join(found, "key").select("text", "key", "windows").mapInArrow(
+        run, "key long, n_passages long, n_passage_bytes long, parts array<struct<first: long, data: binary>>")
+
+
+_PASSAGES = pa.schema([("key", pa.int64()), ("n_passages", pa.int64()), ("n_passage_bytes", pa.int64()),
+                       ("parts", pa.list_(pa.struct([("first", pa.int64()), ("data", pa.binary())])))])
+
+
+def _windows_and_passages(docs: DataFrame, words: int, **limits) -> DataFrame:
+    """(key, windows, n_passages, n_passage_bytes): the repeated windows of ``length``, looked for in the passages' parts."""
+    length = limits.get("length", LENGTH)
+    if length < 2 * words - 1:
+        raise ValueError("strings shorter than the passages are not all inside them")
+    found = stored(passages(docs, words, length), "passages")
+    parts = found.select(F.col("key").alias("text_key"), F.explode("parts").alias("part")).select(
+        "text_key", F.col("part.first").alias("begin"), F.col("part.data").alias("text")).withColumn("key", F.xxhash64("text_key", "begin"))
+    places = parts.select("key", "text_key", "begin").distinct()
+    windows = _by_key(repeated_windows(parts.select("key", "text"), **limits).join(places, "key").select(
+        F.col("text_key").alias("key"), (F.col("first") + F.col("begin")).alias("first"), (F.col("last") + F.col("begin")).alias("last")))
+    return found.select("key", "n_passages", "n_passage_bytes").distinct().join(windows, "key", "left")
+
+
+def _with_windows(df: DataFrame, id_col: str, text_col: str, passage_words: int = 0, **limits) -> DataFrame:
     docs = texts(df, id_col, text_col).select(_key("doc_id", "text").alias("key"), "text")
-    windows = stored(repeated_windows(docs, **limits).groupBy("key").agg(
-        F.collect_list(F.struct("first", "last")).alias("windows")), "windows")
-    return df.select(F.struct("*").alias("row"), _key(id_col, text_col).alias("key")).join(windows, "key", "left").select("row", "windows")
+    windows = stored(_windows_and_passages(docs, passage_words, **limits) if passage_words else _by_key(repeated_windows(docs, **limits)), "windows")
+    return df.select(F.struct("*").alias("row"), _key(id_col, text_col).alias("key")).join(windows, "key", "left").drop("key")
+
 
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = 0, **limits) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept) per row; ``kept`` has the remaining bytes one after the other.
+
+    With ``passage_words`` also n_passages and n_passage_bytes: the passages of so many words or more that stand elsewhere
+    too, and their bytes. They tell of the text and take nothing out of it.
+    """
+    more = ["n_passages", "n_passage_bytes"] if passage_words else []
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept) per row; ``kept`` has the remaining bytes one after the other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches):
             texts_ = column_bytes(batch.column(1))
             rows = [cut(t, w, limits.get("length", LENGTH)) for t, w in zip(texts_, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(map(len, texts_), pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                pa.array([r[2] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.binary()),
+                *(batch.column(3 + k) for k in range(len(more)))],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *more])
     own = texts(df, id_col, text_col)
-    return _with_windows(own, "doc_id", "text", **limits).select("row.doc_id", "row.text", "windows").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return _with_windows(own, "doc_id", "text", passage_words, **limits).select(
+        "row.doc_id", "row.text", "windows", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in more)).mapInArrow(
+        run, ", ".join(["doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", *(f"{c} long" for c in more)]))
 
 
 def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", least_words: int = 0,
@@ -214,5 +279,6 @@ def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cha
 
 
 def digests(df: DataFrame) -> DataFrame:
-    """The digest columns of the registered query."""
-    return remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """The digest columns of the registered query, and the repeated passages of more than 50 words."""
+    return remove_repeats(df, passage_words=PASSAGE_WORDS).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages", "n_passage_bytes")
