@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,18 +157,26 @@ def _key(id_col: str, text_col: str):
     return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
 
 
-def covered(windows: list[dict] | None, length: int) -> list[list[int]]:
+def window_lists(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """First and last window starts of each row of a list column; a null list has none."""
+    column = column.fill_null([]) if column.null_count else column
+    first, last = (x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten())
+    ends = np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+    return [(first[a:b], last[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def covered(windows: tuple[np.ndarray, np.ndarray], length: int) -> list[tuple[int, int]]:
     """Begin and end of the maximal runs of bytes that the windows cover."""
-    runs: list[list[int]] = []
-    for first, last in sorted((w["first"], w["last"] + length) for w in windows or ()):
-        if runs and first <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], last)
-        else:
-            runs.append([first, last])
-    return runs
+    first, last = windows
+    if not len(first):
+        return []
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(last[order] + length)
+    new = np.flatnonzero(first[1:] > end[:-1])
+    return list(zip(first[np.concatenate([[0], new + 1])].tolist(), end[np.concatenate([new, [len(end) - 1]])].tolist()))
 
 
-def cut(text: bytes, windows: list[dict] | None, length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
+def cut(text: bytes, windows: tuple[np.ndarray, np.ndarray], length: int = LENGTH, least_words: int = 0) -> tuple[bytes, int, int]:
     """The text without what the windows cover, the number of bytes gone, and of their maximal runs; a run stays if it
     holds fewer than ``least_words`` words."""
     runs = covered(windows, length)
@@ -196,7 +205,7 @@ def passages(docs: DataFrame, words: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches, 200):
             rows = []
-            for text, key, windows in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, key, windows in zip(column_bytes(batch.column(0)), batch.column(1).to_pylist(), window_lists(batch.column(2))):
                 runs = covered(windows, length)
                 sizes = [b - a for a, b in runs if len(text[a:b].split()) >= words]
                 rows.append({"key": key, "n_passages": len(sizes), "n_passage_bytes": sum(sizes),
@@ -244,7 +253,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batched(batches):
             texts_ = column_bytes(batch.column(1))
-            rows = [cut(t, w, limits.get("length", LENGTH)) for t, w in zip(texts_, batch.column(2).to_pylist())]
+            rows = [cut(t, w, limits.get("length", LENGTH)) for t, w in zip(texts_, window_lists(batch.column(2)))]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(map(len, texts_), pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                 pa.array([r[2] for r in rows], pa.int64()), pa.array([r[0] for r in rows], pa.binary()),
@@ -270,7 +279,7 @@ def rewritten(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", cha
         for batch in _batched(batches):
             columns = dict(zip(names, batch.columns))
             kept = [None if t is None else cut(t, w, limits.get("length", LENGTH), least_words)[0].decode("utf-8", "ignore")
-                    for t, w in zip(column_bytes(columns[text_col]), batch.column(len(names)).to_pylist())]
+                    for t, w in zip(column_bytes(columns[text_col]), window_lists(batch.column(len(names))))]
             columns[text_col] = pa.array(kept, columns[text_col].type)
             if chars_col in columns:
                 columns[chars_col] = pa.array([len(t or "") for t in kept], columns[chars_col].type)
