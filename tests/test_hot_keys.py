@@ -55,6 +55,17 @@ def test_pieces_stay_small_and_keep_the_order(rows):
     assert placed == sorted(placed, key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
 
 
+def test_short_pieces_share_a_task(spark):
+    """The number of tasks depends on the rows, not on the length of the pieces; equal places in several pieces keep the lists' order."""
+    df = spark.range(6000).select(F.lit(1).alias("key"), (F.col("id") % 1500).alias("place"), (F.col("id") * 7919 % 6007).alias("v")).repartition(3)
+    cut, pieces = hot.with_chunks(df, ["key"], ["place"], 3, ["v"])
+    assert len(cut.inputFiles()) <= max(spark.sparkContext.defaultParallelism, 4)
+    assert cut.groupBy(*pieces).count().agg(F.max("count")).first()[0] <= 3 and cut.count() == 6000
+    parts = A.group_spread_and_list(df, ["key"], ["place"], ["v"], ["v"], max_rows=3)
+    got = [v for r in sorted(parts.collect(), key=lambda r: r["list_part"]) for v in r["v_list"]]
+    assert got == [r["v"] for r in df.orderBy("place", "v").collect()]
+
+
 def test_text_orders_and_null_places(spark):
     """A hot key whose order is a text, and one with many nulls in its leading order column."""
     data = [(1, f"t{i * 37 % 400:03d}", None if i % 3 else i % 7, i, ["single", None][i % 2], float(i) if i % 5 == 0 else None) for i in range(400)]
