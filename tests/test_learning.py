@@ -163,6 +163,41 @@ def test_silhouette_over_many_tiles(blobs, squared):
         assert C.group_silhouettes(matrix(blobs), [labels])[0] == pytest.approx(want, abs=1e-9)
 
 
+def test_distances_of_equal_rows_far_from_zero():
+    """Equal rows are at distance 0 exactly, others as by differences, also where squares cancel."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1, (300, 4)), np.repeat(rng.normal(0, 1, (3, 4)), 50, axis=0)]) + 1000
+    onehot = np.eye(2)[np.arange(len(x)) % 2]
+    sums = np.zeros((len(x), 2))
+    C.add_distances(x - 1000, x - 1000, onehot, sums)
+    want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) @ onehot
+    assert sums == pytest.approx(want, abs=1e-7)
+    same = np.zeros((50, 1))
+    C.add_distances(x[-50:], x[-50:], np.ones((50, 1)), same)
+    assert not same.any()
+
+
+def test_scores_write_the_points_once(spark):
+    """What a choice of k writes does not grow with the number of its models."""
+    import os
+    from xoutcome.session import shared_dir
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(shared_dir(spark).removeprefix("file:")) for f in fs)
+    x = np.random.default_rng(8).normal(0, 1, (4000, 4))
+    points = spark.createDataFrame([(0, *map(float, r)) for r in x], "gid long, a double, b double, c double, d double").cache()
+    before = size()
+    score, k, _, centres = C.choose_k(points, X, {0: range(2, 5)}, (2, 3))[0]
+    assert size() - before < 3 * x.nbytes
+    labels = C.squared_distances(x, centres).argmin(1)
+    assert score == pytest.approx(brute_silhouette(x, labels, False), abs=1e-9) and k == len(centres)
+
+
+def test_keys_that_repeat_are_one_point(spark, blobs):
+    """Rows of one key add up their distances, whichever shares and clusters they are in, as they did."""
+    twice = blobs.union(blobs.where("id < 20"))
+    whole = C.silhouette_score(twice, "id", X, "label").first()[0]
+    assert C.silhouette_score(twice, "id", X, "label", tile_rows=30).first()[0] == pytest.approx(whole, abs=1e-9)
+
+
 @pytest.mark.parametrize("squared", [True, False])
 def test_silhouette_of_blurred_clusters(spark, squared):
     """Clusters of one row, equal points, overlapping clusters; far clusters are ruled out."""
